@@ -560,6 +560,13 @@ SELECT * FROM result WHERE prediction = 'FRAUD' AND (hour <= 5 OR hour >= 22)"""
     "summary_report": result(SUMMARY),
     "full_report": result(REPORT),
     "high_risk_report": result(REPORT + " WHERE prediction = 'FRAUD' AND result.confidence >= 0.8e0"),
+    "detailed_results": result(f"""
+SELECT transaction_id, customer_id, {MONEY} AS amount, merchant_category, transaction_time, hour,
+       day_of_week, CASE prediction WHEN 'FRAUD' THEN '🚨 FRAUD' ELSE '✅ LEGITIMATE' END AS prediction,
+       {PERCENT} AS confidence, risk_level, risk_emoji FROM result"""),
+    "high_risk_table": result(f"""
+SELECT transaction_id, customer_id, {MONEY} AS amount, merchant_category, {PERCENT} AS confidence,
+       risk_level FROM result WHERE prediction = 'FRAUD' AND result.confidence >= 0.8e0"""),
     "confusion_matrix": confusion("SELECT * FROM c"),
     "classification_metrics": metrics("""
 SELECT model, round(f1_weighted, 6) AS f1_weighted, round(f1_fraud, 6) AS f1_fraud,

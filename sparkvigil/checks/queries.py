@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkvigil.checks.rule_scores import with_rule_scores
+from sparkvigil.checks.rule_scores import with_rule_prediction, with_rule_scores
 from sparkvigil.functions import clock, rules, text
 from sparkvigil.operators import (
     analytics,
@@ -33,7 +33,7 @@ QUICK_PARAMS = {
 BALANCE_ROWS = 1_000
 SAMPLE_ROWS = 500
 # Small enough that the test customers count as hot, so the splitting plans are exercised.
-HOT_ROWS = 60
+HOT_ROWS = 80
 
 _stored: dict[tuple[str, str, str], object] = {}
 
@@ -85,8 +85,7 @@ def batch_upload(spark: SparkSession, d: str) -> DataFrame:
 def score_rows(raw: DataFrame) -> DataFrame:
     """Batch text to report rows under rule_a."""
     good, _ = tables.split_rejects(tables.parse_batch(raw))
-    scored = with_rule_scores(features.with_time_features(good))
-    return scoring.batch_result(scoring.one_model(scored, "rule_a"))
+    return scoring.batch_result(with_rule_prediction(features.with_time_features(good)))
 
 
 def batch_result(spark: SparkSession, d: str) -> DataFrame:
@@ -515,12 +514,11 @@ def merchant_prior(spark, d):
 
 def risk_factors(spark, d):
     history = features.with_customer_history(timed(spark, d), include_current=False)
-    scored = scoring.one_model(with_rule_scores(history), "rule_a")
-    return scoring.explode_factors(scoring.with_risk_factors(scored))
+    return scoring.explode_factors(scoring.with_risk_factors(with_rule_prediction(history)))
 
 
 def _bands(spark, d, name, rule):
-    scored = scoring.one_model(rule_scored(spark, d), "rule_a")
+    scored = with_rule_prediction(timed(spark, d))
     return scored.select("transaction_id", "prediction", "fraud_probability", rule.alias(name))
 
 
@@ -586,6 +584,14 @@ def high_risk_report(spark, d):
     return reports.high_risk_report(batch_result(spark, d))
 
 
+def detailed_results(spark, d):
+    return reports.detailed_results(batch_result(spark, d))
+
+
+def high_risk_table(spark, d):
+    return reports.high_risk_table(batch_result(spark, d))
+
+
 # ---- evaluation and model comparison ------------------------------------------------------------
 
 
@@ -771,6 +777,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summary_report,
         full_report,
         high_risk_report,
+        detailed_results,
+        high_risk_table,
         confusion_matrix,
         classification_metrics,
         auc_roc,

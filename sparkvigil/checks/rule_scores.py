@@ -12,8 +12,8 @@ def _points(condition: Column, points: float) -> Column:
     return F.when(condition, points).otherwise(0.0)
 
 
-def with_rule_scores(df: DataFrame) -> DataFrame:
-    """``scores`` from amount, hour and merchant category."""
+def rule_columns() -> dict[str, tuple[Column, Column]]:
+    """(prediction, fraud_probability) per rule from amount, hour and merchant category."""
     amount, hour, merchant = F.col("amount"), F.col("hour"), F.col("merchant_category")
     a = F.least(
         F.lit(1.0),
@@ -28,11 +28,16 @@ def with_rule_scores(df: DataFrame) -> DataFrame:
         + _points(merchant.isin("electronics", "travel"), 0.2)
     )
     c = F.lit(0.06) + _points(hour < 6, 0.45) + _points(amount >= 1000, 0.3)
-    return df.withColumns({"_a": a, "_b": b, "_c": c}).withColumn(
-        "scores",
-        F.array(
-            score_struct("rule_a", F.col("_a") >= 0.4, F.col("_a")),
-            score_struct("rule_b", F.col("_b") >= 0.55, F.col("_b")),
-            score_struct("rule_c", F.col("_c") >= 0.5, F.col("_c")),
-        ),
-    ).drop("_a", "_b", "_c")
+    return {"rule_a": (a >= 0.4, a), "rule_b": (b >= 0.55, b), "rule_c": (c >= 0.5, c)}
+
+
+def with_rule_scores(df: DataFrame) -> DataFrame:
+    """``scores`` with one element per rule."""
+    parts = [score_struct(name, p, probability) for name, (p, probability) in rule_columns().items()]
+    return df.withColumn("scores", F.array(*parts))
+
+
+def with_rule_prediction(df: DataFrame, rule: str = "rule_a") -> DataFrame:
+    """``prediction`` and ``fraud_probability`` of one rule."""
+    prediction, probability = rule_columns()[rule]
+    return df.withColumns({"prediction": prediction.cast("int"), "fraud_probability": probability})

@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A character no category name holds; followed by a space it starts a word for initcap.
+_WORD_BREAK = "\u0001 "
+
+
 def title_case(text: Column) -> Column:
     """Upper-case every letter that does not follow a letter, lower-case the rest."""
-    words = F.split(F.lower(text), r"(?<=\P{L})")
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))),
-        "",
-    )
+    split_up = F.regexp_replace(F.lower(text), r"(?<=[^\p{L} ])(?=\p{L})", _WORD_BREAK)
+    return F.replace(F.initcap(split_up), F.lit(_WORD_BREAK), F.lit(""))
 
 
 def money(amount: Column) -> Column:
@@ -33,3 +34,8 @@ def fraud_label(prediction: Column) -> Column:
 def target_label(target: Column) -> Column:
     """Display name of the 0/1 target; null for anything else."""
     return F.when(target == 0, "Legitimate").when(target == 1, "Fraud")
+
+
+def marked_label(label: Column) -> Column:
+    """FRAUD / LEGITIMATE with the mark of the result table."""
+    return F.when(label == "FRAUD", "🚨 FRAUD").otherwise("✅ LEGITIMATE")

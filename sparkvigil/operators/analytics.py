@@ -254,26 +254,54 @@ def merchant_risk_profile(df: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair, null for a constant column; all pairs in one pass."""
-    names = columns or [*FEATURES, "target"]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    """Pearson correlation of every pair, null for a constant column.
 
-    def entry(a: str, b: str, value: Column) -> Column:
+    Two passes over the columns: means, then sums of products around them. Where values are missing a
+    pair only counts the rows that have both.
+    """
+    names = columns or [*FEATURES, "target"]
+    first = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"n_{c}") for c in names],
+        *[F.avg(c).alias(f"mean_{c}") for c in names],
+        *[(F.min(c) < F.max(c)).alias(f"varies_{c}") for c in names],
+    ).first()
+    varying = [c for c in names if first[f"varies_{c}"]]
+    pairs = [(a, b) for i, a in enumerate(varying) for b in varying[i + 1 :]]
+    if not pairs:
+        values = df.sparkSession.range(1)
+    elif all(first[f"n_{c}"] == first["rows"] for c in varying):
+        values = _centred_correlations(df, varying, pairs, first)
+    else:
+        values = df.agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in pairs])
+
+    def entry(a: str, b: str) -> Column:
+        if (a, b) in pairs or (b, a) in pairs:
+            value = F.col(f"`{a}~{b}`" if (a, b) in pairs else f"`{b}~{a}`")
+        else:
+            value = F.lit(1.0 if a == b and a in varying else None)
         return F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), value.alias("correlation")
+            F.lit(a).alias("feature_a"),
+            F.lit(b).alias("feature_b"),
+            value.cast("double").alias("correlation"),
         )
 
-    aggregated = df.agg(
-        *[
-            (F.when(F.stddev_samp(a) > 0, 1.0) if a == b else F.corr(a, b)).alias(f"c{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
+    return values.select(F.inline(F.array(*[entry(a, b) for a in names for b in names])))
+
+
+def _centred_correlations(df, names, pairs, first):
+    """One column per pair, from sums of products of the deviations from the mean."""
+    squares = [(c, c) for c in names]
+    off = df.select(*[(F.col(c) - F.lit(first[f"mean_{c}"])).alias(c) for c in names])
+    sums = off.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(c).alias(f"sum_{c}") for c in names],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in [*squares, *pairs]],
+    )
+
+    def joint(a: str, b: str) -> Column:
+        return F.col(f"`{a}*{b}`") - F.col(f"sum_{a}") * F.col(f"sum_{b}") / F.col("rows")
+
+    return sums.select(
+        *[(joint(a, b) / F.sqrt(joint(a, a) * joint(b, b))).alias(f"{a}~{b}") for a, b in pairs]
     )
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        value = F.col(f"c{i}")
-        value = F.when(~F.isnan(value), value)
-        entries.append(entry(a, b, value))
-        if a != b:
-            entries.append(entry(b, a, value))
-    return aggregated.select(F.inline(F.array(*entries)))

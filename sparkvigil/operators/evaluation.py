@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkvigil.functions import rules
 from sparkvigil.plans.ordered import running_totals
 from sparkvigil.plans.skew import MAX_GROUP_ROWS
+from sparkvigil.session import stage
 
 METRICS = ["f1_weighted", "f1_fraud", "precision_fraud", "recall_fraud", "accuracy", "auc_roc"]
 
@@ -50,13 +51,14 @@ def auc_roc(scored: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFram
     Rows are combined per distinct score first. Every fraud row then beats the legitimate rows below
     its score, which is a running total along the score.
     """
-    by_score = (
+    by_score = stage(
         scored.filter(F.col("label").isin(0, 1))
         .groupBy("model", "fraud_probability")
         .agg(
             F.count_if(F.col("label") == 1).alias("frauds"),
             F.count_if(F.col("label") == 0).alias("legits"),
-        )
+        ),
+        "scores",
     )
     ranked = running_totals(
         by_score,

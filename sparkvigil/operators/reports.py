@@ -112,5 +112,18 @@ def full_report(result: DataFrame) -> DataFrame:
     return _formatted(result).select(*BATCH_RESULT_COLUMNS)
 
 
+def detailed_results(result: DataFrame) -> DataFrame:
+    """The full report with marked labels, as shown on screen."""
+    marked = text.marked_label(F.col("prediction"))
+    return full_report(result).withColumn("prediction", marked)
+
+
+def high_risk_table(result: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """The six columns of the alert table."""
+    return high_risk_report(result, threshold).select(
+        "transaction_id", "customer_id", "amount", "merchant_category", "confidence", "risk_level"
+    )
+
+
 def high_risk_report(result: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
     return full_report(high_risk_rows(result, threshold))

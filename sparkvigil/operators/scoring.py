@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.ml.functions import vector_to_array
@@ -225,7 +225,8 @@ def score(
 def score_batch(batch: DataFrame, scorer: Scorer, model: str) -> DataFrame:
     """Parsed batch rows to report rows with one model; the plan does not depend on the row count."""
     lowered = batch.withColumn("merchant_category", F.lower("merchant_category"))
-    return batch_result(one_model(score(lowered, scorer), model), "amount_original")
+    only = replace(scorer, models={model: scorer.models[model]})
+    return batch_result(one_model(score(lowered, only), model), "amount_original")
 
 
 def scenario_scores(spark: SparkSession, scorer: Scorer) -> DataFrame:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkvigil.plans.skew import MAX_GROUP_ROWS, TAG, hot_groups, null_safe_join, split_hot
+from sparkvigil.plans.skew import (
+    MAX_GROUP_ROWS,
+    TAG,
+    hot_groups,
+    null_safe_join,
+    sized,
+    split_hot,
+)
 from sparkvigil.session import stage
 
 
@@ -27,12 +34,13 @@ def running_totals(
     """
     df = df.select("*", *[expr.alias(f"_in_{name}") for name, expr in totals.items()])
     names = list(totals)
-    hot = hot_groups(df, keys, max_group_rows)
+    total = df.count()
+    hot = hot_groups(df, keys, max_group_rows, total)
     if hot is None:
-        out = _in_one_window(df, keys, order, names, lag)
+        out = _in_one_window(sized(df, keys, total), keys, order, names, lag)
     else:
         cold, rows = split_hot(df, keys, hot)
-        out = _in_one_window(cold, keys, order, names, lag).unionByName(
+        out = _in_one_window(sized(cold, keys, total), keys, order, names, lag).unionByName(
             _in_blocks(rows, hot, keys, order, names, lag)
         )
     return out.drop(*[f"_in_{name}" for name in names])

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bins per bracket and pass, and the bracket size at which the values themselves are listed.
-BINS = 2048
-LIST_ROWS = 5_000
-# Grouped quantiles keep a few numbers per group on the driver; more groups than this is an error.
-MAX_SERIES = 512
+BINS = 1024
+LIST_ROWS = 4_000
+# Grouped quantiles keep some thousand counters per group on the driver; they are meant for labels,
+# and more groups than this is an error.
+MAX_GROUPS = 32
 
 
 @dataclass
@@ -53,9 +54,9 @@ def series_of(df: DataFrame, columns: list[str], by: str | None = None) -> list[
             F.max(_value(c)).alias(f"hi{i}"),
         ]
     grouped = df.filter(F.col(by).isNotNull()).groupBy(by) if by else df.groupBy()
-    rows = grouped.agg(*aggs).limit(MAX_SERIES + 1).collect()
-    if len(rows) > MAX_SERIES:
-        raise ValueError(f"{by} has more than {MAX_SERIES} values; it is not a grouping label")
+    rows = grouped.agg(*aggs).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{by} has more than {MAX_GROUPS} values; it is not a grouping label")
     return [
         Series(r[by] if by else None, c, r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"])
         for r in rows
@@ -101,6 +102,10 @@ def _inside(b: Bracket, by: str | None) -> Column:
     return cond & (F.col(by) == F.lit(b.series.group)) if by else cond
 
 
+def _exploded(df: DataFrame, hits: list[Column]) -> DataFrame:
+    return df.select(F.explode(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull())
+
+
 def _refine(df, brackets, by):
     hits = []
     for i, b in enumerate(brackets):
@@ -117,7 +122,7 @@ def _refine(df, brackets, by):
             )
         )
     bins = (
-        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+        _exploded(df, hits)
         .groupBy("h.i", "h.bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi"))
         .collect()
@@ -144,7 +149,7 @@ def _listed(df, brackets, by):
             for i, b in enumerate(brackets)
         ]
         rows = (
-            df.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+            _exploded(df, hits)
             .groupBy("h.i", "h.v")
             .agg(F.count(F.lit(1)).alias("n"))
             .collect()

@@ -34,15 +34,29 @@ def null_safe_join(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def sized(df: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``df`` hashed by ``keys`` into enough partitions for ``total`` rows.
+
+    Adaptive execution merges small partitions but never cuts the big ones of a window or a join, so
+    the session's partition count is only kept where it is enough.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-total // MAX_GROUP_ROWS)
+    return df.repartition(needed, *keys) if keys and needed > configured else df
+
+
 def hot_groups(
-    df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    keys: list[str],
+    max_group_rows: int = MAX_GROUP_ROWS,
+    total: int | None = None,
 ) -> DataFrame | None:
     """Keys with more rows than one task should take, with ``_parts``, the pieces to cut them in.
 
     A plain row count rules hot keys out for small inputs. The counts per key are combined map-side,
     and the result has at most ``MAX_HOT_GROUPS`` rows whatever the data, so it may be broadcast.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     limit = max(max_group_rows, total // MAX_HOT_GROUPS)
     if total <= limit:
         return None
@@ -79,18 +93,28 @@ def skew_join(
     Without hot keys this is Spark's own join, which picks broadcast or sort-merge. A hot key is cut
     in ``_parts`` pieces by ``_tag``, and the few matching rows of ``right`` are repeated per piece.
     """
-    hot = hot_groups(left, keys, max_group_rows)
+    total = left.count()
+    hot = hot_groups(left, keys, max_group_rows, total)
+    cold, rows = (left, None) if hot is None else split_hot(left, keys, hot)
+    joined = _sized_join(cold, right, keys, how, total)
     if hot is None:
-        return left.join(right, keys, how)
-    cold, rows = split_hot(left, keys, hot)
+        return joined
     salted = rows.withColumn("_salt", F.pmod(F.col(TAG), F.col("_parts")))
     copies = (
         right.join(F.broadcast(hot.select(*keys, "_parts")), keys, "inner")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
         .drop("_parts")
     )
-    joined = salted.join(copies, [*keys, "_salt"], how).drop("_salt", "_parts", TAG)
-    return cold.join(right, keys, how).unionByName(joined)
+    pieces = salted.join(copies, [*keys, "_salt"], how).drop("_salt", "_parts", TAG)
+    return joined.unionByName(pieces)
+
+
+def _sized_join(left, right, keys, how, total):
+    """Spark picks broadcast or sort-merge; the shuffle is only sized by hand for a big right side."""
+    wide = sized(left, keys, total)
+    if wide is left or right.count() <= BROADCAST_ROWS:
+        return left.join(right, keys, how)
+    return wide.join(right, keys, how)
 
 
 def lookup_join(
