@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkvigil.functions.hashing import key_fraction, key_hash
+from sparkvigil.functions.hashing import HASH_SPAN, key_fraction, key_hash
 from sparkvigil.plans.quantiles import order_statistics, series_of
 from sparkvigil.session import stage
 
@@ -102,17 +104,24 @@ def sample_n(
 ) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer): those with the smallest key hashes.
 
-    The n-th smallest hash is found first, so the sample is a filter, not a sort or a limit.
+    One pass keeps the rows whose hash is small enough to be among them, with a wide margin; the n-th
+    smallest hash is then looked up among those, and the sample is a filter, not a sort of the table.
     """
-    hashed = df.withColumn("_hash", key_hash(key, f"sample{seed}"))
-    [series] = series_of(hashed, ["_hash"])
-    if series.rows <= n:
+    total = df.count()
+    if total <= n:
         return df
     if n <= 0:
         return df.limit(0)
-    edge = int(order_statistics(hashed, [(series, {n - 1})])[(None, "_hash", n - 1)])
-    below = hashed.filter(F.col("_hash") < edge)
-    ties = hashed.filter(F.col("_hash") == edge).orderBy(key).limit(n - below.count())
+    hashed = df.withColumn("_hash", key_hash(key, f"sample{seed}"))
+    share = min((n + 10 * math.sqrt(n) + 100) / total, 1.0)
+    near = stage(hashed.filter(F.col("_hash") < math.ceil(share * HASH_SPAN)), "sample")
+    [series] = series_of(near, ["_hash"])
+    if series.rows < n:  # repeated keys can leave too few below the margin
+        near = hashed
+        [series] = series_of(near, ["_hash"])
+    edge = int(order_statistics(near, [(series, {n - 1})])[(None, "_hash", n - 1)])
+    below = near.filter(F.col("_hash") < edge)
+    ties = near.filter(F.col("_hash") == edge).orderBy(key).limit(n - below.count())
     return below.unionByName(ties).drop("_hash")
 
 

@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 from sparkvigil.functions import amounts, clock, rules, text
 from sparkvigil.operators.features import Preprocessing, with_time_features
 from sparkvigil.operators.models import assemble
-from sparkvigil.plans.skew import MAX_GROUP_ROWS, lookup_join, skew_join
+from sparkvigil.plans.skew import MAX_GROUP_ROWS, lookup_join, snapshot_join
 from sparkvigil.sources.schemas import BATCH_RESULT_COLUMNS, FEATURES
 from sparkvigil.sources.tables import scenarios_df
 
 
+LOOKED_UP = FEATURES[3:]
+
+
 @dataclass
 class Scorer:
     """Fitted models with what their features need."""
@@ -39,43 +42,35 @@ def with_serving_features(
 ) -> DataFrame:
     """The eight features of unlabelled transactions.
 
-    History comes from the customer snapshot, category statistics from the fitted table; a customer
-    or category without history gets the fixed defaults. The transaction itself counts as one more
-    row of its customer, as it does in training.
+    A feature the rows already carry wins. Otherwise history comes from the customer snapshot and
+    category statistics from the fitted table; without history there, the fixed defaults apply. The
+    transaction itself counts as one more row of its customer, as it does in training.
     """
-    df = with_time_features(df, convention=scorer.convention)
-    if "customer_fraud_rate" not in df.columns:
-        if scorer.profile is None:
-            df = df.withColumns(
-                {
-                    "customer_fraud_rate": F.lit(None).cast("double"),
-                    "customer_transaction_count": F.lit(None).cast("long"),
-                    "customer_fraud_count": F.lit(None).cast("long"),
-                }
-            )
-        else:
-            df = skew_join(df, scorer.profile, ["customer_id"], "left", max_group_rows)
+    if not {"hour", "day_of_week"} <= set(df.columns):
+        df = with_time_features(df, convention=scorer.convention)
+    df = df.withColumnsRenamed({c: f"_given_{c}" for c in LOOKED_UP if c in df.columns})
+    if scorer.profile is not None and "customer_id" in df.columns:
+        df = snapshot_join(df, scorer.profile, ["customer_id"], max_group_rows)
     df = lookup_join(df, scorer.state.merchant_stats, ["merchant_category"], stored=True)
-    df = df.withColumns(
-        {
-            "customer_fraud_rate": F.coalesce(
-                "customer_fraud_rate", F.lit(rules.DEFAULT_CUSTOMER_RATE)
-            ),
-            "customer_transaction_count": F.coalesce(
-                F.col("customer_transaction_count") + 1, F.lit(rules.DEFAULT_CUSTOMER_COUNT)
-            ).cast("long"),
-            "customer_fraud_count": F.coalesce(
-                "customer_fraud_count", F.lit(rules.DEFAULT_CUSTOMER_FRAUDS)
-            ).cast("long"),
-            "merchant_fraud_rate": F.coalesce(
-                "merchant_fraud_rate", rules.merchant_prior(F.col("merchant_category"))
-            ),
-            "merchant_fraud_volatility": F.coalesce(
-                "merchant_fraud_volatility", F.lit(rules.DEFAULT_VOLATILITY)
-            ),
-            "amount_original": F.col("amount"),
-        }
-    )
+
+    def looked_up(name: str, found: Column | None, default: Column) -> Column:
+        choices = [F.col(f"_given_{name}")] if f"_given_{name}" in df.columns else []
+        if name in df.columns:
+            choices.append(F.col(name) if found is None else found)
+        return F.coalesce(*choices, default)
+
+    values = {
+        "customer_fraud_rate": (None, F.lit(rules.DEFAULT_CUSTOMER_RATE)),
+        "customer_transaction_count": (
+            F.col("customer_transaction_count") + 1,
+            F.lit(rules.DEFAULT_CUSTOMER_COUNT),
+        ),
+        "customer_fraud_count": (None, F.lit(rules.DEFAULT_CUSTOMER_FRAUDS)),
+        "merchant_fraud_rate": (None, rules.merchant_prior(F.col("merchant_category"))),
+        "merchant_fraud_volatility": (None, F.lit(rules.DEFAULT_VOLATILITY)),
+    }
+    df = df.withColumns({name: looked_up(name, *choice) for name, choice in values.items()})
+    df = df.drop(*[f"_given_{c}" for c in LOOKED_UP]).withColumn("amount_original", F.col("amount"))
     if scorer.apply_cap:
         low, high = F.lit(scorer.state.lower_bound), F.lit(scorer.state.upper_bound)
         df = df.withColumn("amount", amounts.capped(F.col("amount"), low, high))

@@ -13,8 +13,9 @@ from sparkvigil.session import stage
 MAX_GROUP_ROWS = 5_000_000
 # A key counts as hot above total/MAX_HOT_GROUPS rows, so at most this many keys can be hot.
 MAX_HOT_GROUPS = 100_000
-# Largest dimension that is broadcast; the row count is checked before the hint is given.
+# Largest dimension that is broadcast; rows and bytes are counted before the hint is given.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 TAG = "_tag"
 
@@ -117,6 +118,14 @@ def _sized_join(left, right, keys, how, total):
     return wide.join(right, keys, how)
 
 
+def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table may be broadcast, by its counted rows and bytes."""
+    text = [F.octet_length(name) for name, kind in stored.dtypes if kind == "string"]
+    per_row = reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), text, F.lit(16 * len(stored.columns)))
+    size = stored.agg(F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")).first()
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def lookup_join(
     df: DataFrame,
     dimension: DataFrame,
@@ -126,10 +135,29 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a dimension with one row per key: broadcast if it is small, else split hot keys.
 
-    The dimension is counted first; one that is not a stored table yet is written out for that.
+    The dimension is measured first; one that is not a stored table yet is written out for that.
     """
     if not stored:
         dimension = stage(dimension, "dimension")
-    if dimension.count() <= max_rows:
+    if is_small(dimension, max_rows):
         return df.join(F.broadcast(dimension), keys, "left")
     return skew_join(df, dimension, keys, "left")
+
+
+def snapshot_join(
+    df: DataFrame,
+    snapshot: DataFrame,
+    keys: list[str],
+    max_group_rows: int = MAX_GROUP_ROWS,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Left join of new rows to a large snapshot with one row per key.
+
+    A few new rows (a micro-batch) broadcast their keys, and the snapshot is filtered while it is
+    scanned: what remains has at most one row per new row, so it is broadcast back and nothing is
+    shuffled. More rows than that are joined with hot keys split.
+    """
+    if df.count() > max_rows:
+        return skew_join(df, snapshot, keys, "left", max_group_rows)
+    wanted = F.broadcast(df.select(*keys).distinct())
+    return df.join(F.broadcast(snapshot.join(wanted, keys, "left_semi")), keys, "left")

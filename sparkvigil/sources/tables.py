@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,5 +166,12 @@ def scenarios_df(spark: SparkSession) -> DataFrame:
     )
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def diagnostic_cases(spark: SparkSession) -> DataFrame:
+    """One transaction every model should pass and one every model should flag."""
+    rows = [("normal", "grocery", 50.0, 14, 4, 0), ("suspicious", "electronics", 5000.0, 3, 4, 2)]
+    return spark.createDataFrame(
+        rows,
+        "case string, merchant_category string, amount double, hour int, day_of_week int, "
+        "customer_fraud_count bigint",
+    )
+
