@@ -111,7 +111,7 @@ def join_customers(spark, d):
 
 
 def join_customers_split(spark, d):
-    return _joined(spark, d, max_group_rows=HOT_ROWS)
+    return _joined(spark, d, max_group_rows=HOT_ROWS, broadcast_rows=0)
 
 
 def _joined(spark, d, **options):
@@ -163,7 +163,7 @@ def row_count(spark, d):
 
 def preprocessing_state(spark, d):
     """Fitted constants through their JSON file."""
-    base = features.stage_base(retail.transactions(spark, d), retail.customers(spark, d), 5_000_000)
+    base = features.stage_base(retail.transactions(spark, d), retail.customers(spark, d))
     legit, fraud = sampling.two_class_counts(base, "is_fraud")
     path = scratch_path(spark, "config")
     models.preprocessing_state(spark, features.fit_preprocessing(base), legit / fraud).write.json(path)

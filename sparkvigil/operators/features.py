@@ -47,10 +47,13 @@ def with_time_features(
 
 
 def join_customers(
-    tx: DataFrame, customers: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
+    tx: DataFrame,
+    customers: DataFrame,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Transactions of known customers; a customer listed twice yields its transactions twice."""
-    return skew_join(tx, customers, ["customer_id"], "inner", max_group_rows)
+    return skew_join(tx, customers, ["customer_id"], "inner", max_group_rows, broadcast_rows)
 
 
 def quantiles(
@@ -194,7 +197,9 @@ def fit_preprocessing(df: DataFrame, rel_err: float = 0.0) -> Preprocessing:
     return Preprocessing(values[:3], values[3], values[4], stage(merchant_stats(df), "merchant_stats"))
 
 
-def stage_base(tx: DataFrame, customers: DataFrame | None, max_group_rows: int) -> DataFrame:
+def stage_base(
+    tx: DataFrame, customers: DataFrame | None, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """The joined input written once: the fit and the feature pass read it instead of joining again."""
     if customers is not None:
         tx = join_customers(tx, customers.select("customer_id"), max_group_rows)

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from sparkvigil.session import stage
 
 # Rows one task may receive for a single key before that key is split.
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 2_000_000
+# Very large inputs get longer partitions instead of more of them.
+MAX_PARTITIONS = 100_000
 # A key counts as hot above total/MAX_HOT_GROUPS rows, so at most this many keys can be hot.
 MAX_HOT_GROUPS = 100_000
 # Largest dimension that is broadcast; rows and bytes are counted before the hint is given.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Most new rows whose keys are broadcast to cut down a snapshot.
+SNAPSHOT_ROWS = 100_000
 
 TAG = "_tag"
 
@@ -42,7 +46,7 @@ def sized(df: DataFrame, keys: list[str], total: int) -> DataFrame:
     the session's partition count is only kept where it is enough.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-total // MAX_GROUP_ROWS)
+    needed = -(-total // max(MAX_GROUP_ROWS, total // MAX_PARTITIONS))
     return df.repartition(needed, *keys) if keys and needed > configured else df
 
 
@@ -88,14 +92,18 @@ def skew_join(
     keys: list[str],
     how: str = "inner",
     max_group_rows: int = MAX_GROUP_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Inner or left equi-join on ``keys`` where a hot key of ``left`` goes to several tasks.
 
-    Without hot keys this is Spark's own join, which picks broadcast or sort-merge. A hot key is cut
-    in ``_parts`` pieces by ``_tag``, and the few matching rows of ``right`` are repeated per piece.
+    Without hot keys this is Spark's own join, which picks broadcast or sort-merge. With hot keys a
+    small ``right`` is broadcast. Otherwise a hot key is cut in ``_parts`` pieces by ``_tag``, and the
+    few matching rows of ``right`` are repeated per piece.
     """
     total = left.count()
     hot = hot_groups(left, keys, max_group_rows, total)
+    if hot is not None and is_small(right, broadcast_rows):
+        return left.join(F.broadcast(right), keys, how)
     cold, rows = (left, None) if hot is None else split_hot(left, keys, hot)
     joined = _sized_join(cold, right, keys, how, total)
     if hot is None:
@@ -118,11 +126,11 @@ def _sized_join(left, right, keys, how, total):
     return wide.join(right, keys, how)
 
 
-def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored table may be broadcast, by its counted rows and bytes."""
-    text = [F.octet_length(name) for name, kind in stored.dtypes if kind == "string"]
-    per_row = reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), text, F.lit(16 * len(stored.columns)))
-    size = stored.agg(F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")).first()
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table may be broadcast, by its counted rows and bytes."""
+    text = [F.octet_length(name) for name, kind in df.dtypes if kind == "string"]
+    per_row = reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), text, F.lit(16 * len(df.columns)))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
@@ -141,7 +149,7 @@ def lookup_join(
         dimension = stage(dimension, "dimension")
     if is_small(dimension, max_rows):
         return df.join(F.broadcast(dimension), keys, "left")
-    return skew_join(df, dimension, keys, "left")
+    return skew_join(df, dimension, keys, "left", broadcast_rows=max_rows)
 
 
 def snapshot_join(
@@ -149,7 +157,7 @@ def snapshot_join(
     snapshot: DataFrame,
     keys: list[str],
     max_group_rows: int = MAX_GROUP_ROWS,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = SNAPSHOT_ROWS,
 ) -> DataFrame:
     """Left join of new rows to a large snapshot with one row per key.
 

@@ -76,8 +76,8 @@ def test_profile_is_the_state_after_the_newest_row(make_tx):
 def test_join_drops_orphans_and_repeats_duplicates(spark, make_tx):
     tx = make_tx([(1, 1, 0, 5.0, "a", 0), (2, 2, 0, 5.0, "a", 0), (3, 3, 0, 5.0, "a", 0)])
     customers = spark.createDataFrame([(1,), (2,), (2,)], "customer_id long")
-    for limit in (1, 5_000_000):
-        joined = features.join_customers(tx, customers, max_group_rows=limit)
+    for limit, small in [(1, 0), (1, 100), (5_000_000, 0)]:  # split, broadcast, plain
+        joined = features.join_customers(tx, customers, limit, small)
         assert sorted(r.transaction_id for r in joined.collect()) == [1, 2, 2]
 
 
@@ -85,7 +85,7 @@ def test_split_join_equals_plain_join(spark, make_tx):
     tx = make_tx([(None if i % 5 == 0 else i % 3, i, i, 1.0, "a", 0) for i in range(60)])
     customers = spark.createDataFrame([(0, "x"), (1, "y"), (1, "z")], "customer_id long, name string")
     plain = features.join_customers(tx, customers)
-    split = features.join_customers(tx, customers, max_group_rows=4)
+    split = features.join_customers(tx, customers, max_group_rows=4, broadcast_rows=0)
     assert plain.exceptAll(split).count() == split.exceptAll(plain).count() == 0
 
 

@@ -153,7 +153,7 @@ def test_large_batches_get_the_same_history(spark, run):
 
     tx = retail.transactions(spark, SF_DIR)
     small = snapshot_join(tx, run.scorer.profile, ["customer_id"])
-    large = skew_join(tx, run.scorer.profile, ["customer_id"], "left", 40)
+    large = skew_join(tx, run.scorer.profile, ["customer_id"], "left", 40, 0)
     assert small.exceptAll(large).count() == large.exceptAll(small).count() == 0
     assert snapshot_join(tx, run.scorer.profile, ["customer_id"], max_rows=10).count() == tx.count()
 

@@ -84,8 +84,8 @@ def test_left_skew_join_keeps_null_and_unmatched_keys(spark):
         [(1, i) for i in range(9)] + [(None, i) for i in range(9)] + [(3, 0)], "k int, i int"
     )
     right = spark.createDataFrame([(1, "one")], "k int, name string")
-    for limit in (4, 1000):
-        rows = skew_join(left, right, ["k"], "left", limit).collect()
+    for limit, small in [(4, 0), (4, 100), (1000, 0)]:
+        rows = skew_join(left, right, ["k"], "left", limit, small).collect()
         assert sorted(r.name or "" for r in rows) == [""] * 10 + ["one"] * 9
 
 
@@ -166,3 +166,22 @@ def test_weighting_modes(labelled):
 def test_shuffle_keeps_rows(labelled):
     shuffled = sampling.shuffle_rows(labelled)
     assert shuffled.exceptAll(labelled).count() == 0 and shuffled.count() == 4000
+
+
+def test_small_means_few_rows_and_few_bytes(spark, monkeypatch):
+    from sparkvigil.plans import skew
+
+    df = spark.createDataFrame([("x" * 100,)] * 10, "s string")
+    assert skew.is_small(df, 10) and not skew.is_small(df, 9)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 500)
+    assert not skew.is_small(df, 10)
+    assert skew.is_small(df.limit(0), 0)
+
+
+def test_partitions_grow_with_the_rows(spark):
+    from sparkvigil.plans.skew import MAX_GROUP_ROWS, sized
+
+    df = spark.range(10)
+    assert sized(df, ["id"], 10) is df
+    big = sized(df, ["id"], 50 * MAX_GROUP_ROWS)
+    assert big.rdd.getNumPartitions() == 50
