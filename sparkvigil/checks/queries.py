@@ -632,12 +632,12 @@ def score_all_models(spark, d):
 
 
 def model_agreement(spark, d):
-    agreement = scoring.model_agreement(rule_scored(spark, d), ["transaction_id"])
+    agreement = scoring.model_agreement(rule_scored(spark, d), ["transaction_id"], 3)
     return rounded(agreement, "mean_confidence")
 
 
 def vote_decision(spark, d):
-    agreement = scoring.model_agreement(rule_scored(spark, d), ["transaction_id"])
+    agreement = scoring.model_agreement(rule_scored(spark, d), ["transaction_id"], 3)
     return scoring.with_vote(agreement).select("transaction_id", "models_flagging", "decision")
 
 
@@ -679,8 +679,10 @@ def score_ml(spark, d):
 
 
 def compare_models_ml(spark, d):
-    scored = scoring.score(retail.transactions(spark, d).drop("is_fraud"), training_run(spark, d).scorer)
-    return scoring.with_vote(scoring.model_agreement(scored, ["transaction_id"]))
+    scorer = training_run(spark, d).scorer
+    scored = scoring.score(retail.transactions(spark, d).drop("is_fraud"), scorer)
+    agreement = scoring.model_agreement(scored, ["transaction_id"], len(scorer.models))
+    return scoring.with_vote(agreement)
 
 
 def run_summary(spark, d):

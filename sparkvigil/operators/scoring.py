@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.ml.functions import vector_to_array
@@ -113,36 +114,35 @@ def score_struct(name: str, prediction: Column, probability: Column) -> Column:
 
 
 def score_all_models(scored: DataFrame, keep: list[str]) -> DataFrame:
-    """``scores`` as rows: the kept columns with model, prediction and fraud_probability."""
-    return scored.select(*keep, F.inline("scores"))
+    """``scores`` as rows: the kept columns with model, prediction and fraud_probability.
+
+    The outer form keeps Catalyst from working the array out twice to test that it is not empty.
+    """
+    return scored.select(*keep, F.inline_outer("scores"))
 
 
-def one_model(scored: DataFrame, name: str) -> DataFrame:
-    """``prediction`` and ``fraud_probability`` of one model from ``scores``."""
-    own = F.filter("scores", lambda s: s["model"] == name)[0]
+def one_model(scored: DataFrame, position: int = 0) -> DataFrame:
+    """``prediction`` and ``fraud_probability`` of the model at one position of ``scores``."""
+    own = F.col("scores")[position]
     return scored.withColumns(
         {"prediction": own["prediction"], "fraud_probability": own["fraud_probability"]}
     )
 
 
-def model_agreement(scored: DataFrame, keep: list[str]) -> DataFrame:
-    """How many models flag a transaction, their mean confidence, and the most confident one.
+def model_agreement(scored: DataFrame, keep: list[str], models: int) -> DataFrame:
+    """How many of the models flag a transaction, their mean confidence, the most confident one.
 
     Worked out within the row; the first model name in order wins a tie.
     """
-    flagging = F.size(F.filter("scores", lambda s: s["prediction"] == 1))
-    total = F.aggregate("scores", F.lit(0.0), lambda acc, s: acc + s["fraud_probability"])
-    leader = F.array_min(
-        F.transform(
-            "scores",
-            lambda s: F.struct((-s["fraud_probability"]).alias("p"), s["model"].alias("model")),
-        )
-    )
+    scores = [F.col("scores")[i] for i in range(models)]
+    add = lambda columns: reduce(lambda a, b: a + b, columns)
+    order = [F.struct((-s["fraud_probability"]).alias("p"), s["model"].alias("model")) for s in scores]
+    leader = F.least(*order) if models > 1 else order[0]
     return scored.select(
         *keep,
-        flagging.alias("models_flagging"),
-        F.size("scores").alias("models_total"),
-        (total / F.size("scores")).alias("mean_confidence"),
+        add([F.when(s["prediction"] == 1, 1).otherwise(0) for s in scores]).alias("models_flagging"),
+        F.lit(models).alias("models_total"),
+        (add([s["fraud_probability"] for s in scores]) / F.lit(models)).alias("mean_confidence"),
         leader["model"].alias("most_confident_model"),
     )
 
@@ -153,7 +153,7 @@ def with_vote(agreement: DataFrame) -> DataFrame:
 
 def discrimination_check(scored: DataFrame, case: str = "case") -> DataFrame:
     """Per model: are all 'normal' cases passed and all 'suspicious' cases flagged?"""
-    long = scored.select(case, F.inline("scores"))
+    long = score_all_models(scored, [case])
     normal, suspicious = F.col(case) == "normal", F.col(case) == "suspicious"
     flagged = F.col("prediction") == 1
     per_model = long.groupBy("model").agg(
@@ -186,7 +186,8 @@ def with_risk_factors(df: DataFrame, amount: str = "amount") -> DataFrame:
 
 
 def explode_factors(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    return df.select(key, F.inline("risk_factors"))
+    """One row per risk factor; transactions without any have none."""
+    return df.select(key, F.inline_outer("risk_factors")).filter(F.col("factor").isNotNull())
 
 
 def batch_result(df: DataFrame, amount: str = "amount") -> DataFrame:
@@ -221,7 +222,7 @@ def score_batch(batch: DataFrame, scorer: Scorer, model: str) -> DataFrame:
     """Parsed batch rows to report rows with one model; the plan does not depend on the row count."""
     lowered = batch.withColumn("merchant_category", F.lower("merchant_category"))
     only = replace(scorer, models={model: scorer.models[model]})
-    return batch_result(one_model(score(lowered, only), model), "amount_original")
+    return batch_result(one_model(score(lowered, only)), "amount_original")
 
 
 def scenario_scores(spark: SparkSession, scorer: Scorer) -> DataFrame:

@@ -103,7 +103,8 @@ def _inside(b: Bracket, by: str | None) -> Column:
 
 
 def _exploded(df: DataFrame, hits: list[Column]) -> DataFrame:
-    return df.select(F.explode(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull())
+    # The outer form keeps Catalyst from testing the array once more in a filter below.
+    return df.select(F.explode_outer(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull())
 
 
 def _refine(df, brackets, by):

@@ -191,6 +191,19 @@ def test_one_pass_over_the_input_for_all_models(run, feats):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
+def test_agreement_within_the_row(spark):
+    df = spark.createDataFrame(
+        [(1, [("b", 1, 0.8), ("a", 1, 0.8), ("c", 0, 0.2)]), (2, [("b", 0, 0.1), ("a", 0, 0.3), ("c", 1, 0.5)])],
+        "id long, scores array<struct<model string, prediction int, fraud_probability double>>",
+    )
+    out = scoring.with_vote(scoring.model_agreement(df, ["id"], 3)).orderBy("id").collect()
+    assert [(r.models_flagging, r.most_confident_model, r.decision) for r in out] == [
+        (2, "a", "block"), (1, "c", "review"),
+    ]
+    assert out[0].mean_confidence == pytest.approx(0.6)
+    assert scoring.one_model(df, 2).orderBy("id").first().fraud_probability == 0.2
+
+
 def test_scenarios_under_every_model(spark, run):
     assert scoring.scenario_scores(spark, run.scorer).count() == 12
 
