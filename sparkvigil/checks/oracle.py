@@ -448,6 +448,12 @@ FROM tx JOIN ({INDEX}) USING (merchant_category)"""),
     "class_weights": tx("""
 SELECT 0e0 AS label, 1e0 AS class_weight UNION ALL
 SELECT 1e0, round(count(*) FILTER (is_fraud = 0)::DOUBLE / count(*) FILTER (is_fraud = 1), 6) FROM tx"""),
+    "label_distribution": tx(f"""
+SELECT table_name, is_fraud AS label, count(*) AS row_count
+FROM (SELECT is_fraud, 'full' AS table_name FROM tx UNION ALL
+      SELECT is_fraud, CASE WHEN {fraction('transaction_id', 'split42')} < 0.8e0
+                            THEN 'train' ELSE 'test' END FROM tx)
+GROUP BY table_name, is_fraud"""),
     "balance_hash": tx(BALANCED),
     "split_hash": tx(f"""
 SELECT transaction_id, CASE WHEN {fraction('transaction_id', 'split42')} < 0.8e0

@@ -348,6 +348,10 @@ def class_counts(spark, d):
     return sampling.class_counts(retail.transactions(spark, d))
 
 
+def label_distribution(spark, d):
+    return sampling.label_distribution(retail.transactions(spark, d))
+
+
 def class_weights(spark, d):
     return rounded(
         sampling.class_weights(retail.transactions(spark, d), "is_fraud"), "class_weight"
@@ -733,6 +737,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         category_onehot,
         category_encoded_ml,
         class_counts,
+        label_distribution,
         class_weights,
         balance_hash,
         balance_native,

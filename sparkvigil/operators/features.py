@@ -13,6 +13,7 @@ from sparkvigil.plans.ordered import running_totals
 from sparkvigil.plans.quantiles import exact_quantiles
 from sparkvigil.plans.skew import BROADCAST_ROWS, MAX_GROUP_ROWS, lookup_join, skew_join
 from sparkvigil.session import stage
+from sparkvigil.sources.schemas import TRANSACTION_SCHEMA
 
 HISTORY_ROWS = 100
 QUARTILES = [0.25, 0.5, 0.75]
@@ -200,10 +201,16 @@ def fit_preprocessing(df: DataFrame, rel_err: float = 0.0) -> Preprocessing:
 def stage_base(
     tx: DataFrame, customers: DataFrame | None, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """The joined input written once: the fit and the feature pass read it instead of joining again."""
-    if customers is not None:
-        tx = join_customers(tx, customers.select("customer_id"), max_group_rows)
-    return stage(tx, "joined")
+    """The columns the features need, of known customers.
+
+    A join is written once, so that the fit and the feature pass read it instead of joining again.
+    Without customers the input is read as it is: it should be a stored table.
+    """
+    tx = tx.select(*TRANSACTION_SCHEMA.names)
+    if customers is None:
+        return tx
+    keys = customers.select("customer_id")
+    return stage(join_customers(tx, keys, max_group_rows), "joined")
 
 
 def apply_preprocessing(

@@ -20,6 +20,19 @@ def class_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def label_distribution(
+    df: DataFrame, label: str = "is_fraud", train: float = 0.8, seed: int = SEED
+) -> DataFrame:
+    """Rows per label of the full, training and test tables, in one pass."""
+    marked = with_split(df, train, seed).select(F.col(label).alias("label"), "split")
+    tables = F.explode(F.array(F.lit("full"), F.col("split")))
+    return (
+        marked.select("label", tables.alias("table_name"))
+        .groupBy("table_name", "label")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 def two_class_counts(df: DataFrame, label: str = "target") -> tuple[int, int]:
     """(rows with label 0, rows with label 1) as numbers; no fraud at all is an error."""
     row = df.agg(

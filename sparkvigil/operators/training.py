@@ -42,6 +42,7 @@ def train_run(
     weighting: str = "none",
     balance_method: str = "hash",
     include_current: bool = True,
+    rel_err: float = 0.0,
     seed: int = sampling.SEED,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> Run:
@@ -52,7 +53,7 @@ def train_run(
     """
     base = features.stage_base(tx, customers, max_group_rows)
     in_training = sampling.with_split(base, seed=seed).filter(F.col("split") == "train")
-    state = features.fit_preprocessing(in_training)
+    state = features.fit_preprocessing(in_training, rel_err)
     feats = features.apply_preprocessing(
         base, state, include_current=include_current, max_group_rows=max_group_rows
     ).select(*features.PROCESSED_COLUMNS, F.col("is_fraud").cast("double").alias("target"))

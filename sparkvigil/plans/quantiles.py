@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -107,11 +108,22 @@ def _exploded(df: DataFrame, hits: list[Column]) -> DataFrame:
     return df.select(F.explode_outer(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull())
 
 
+def _place(value: Column, low: float, high: float) -> Column:
+    """Bin of a value within [low, high]; halved and finite, so that no difference overflows."""
+    low, high = [max(min(x, sys.float_info.max), -sys.float_info.max) / 2 for x in (low, high)]
+    if low == high:  # an infinity next to the largest finite number
+        return F.when(F.abs(value) == math.inf, BINS - 1 if low > 0 else 0).otherwise(
+            0 if low > 0 else BINS - 1
+        )
+    finite = F.greatest(F.least(value, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max)) / 2
+    return F.floor((finite - F.lit(low)) / F.lit(high - low) * BINS).cast("int")
+
+
 def _refine(df, brackets, by):
     hits = []
     for i, b in enumerate(brackets):
         value = _value(b.series.column)
-        place = F.floor((value - F.lit(b.low)) / F.lit(b.high - b.low) * BINS).cast("int")
+        place = _place(value, b.low, b.high)
         hits.append(
             F.when(
                 _inside(b, by),
@@ -187,7 +199,7 @@ def exact_quantiles(
         for lo, hi, weight in spots:
             a = values[(s.group, s.column, lo)]
             b = values[(s.group, s.column, hi)]
-            picked.append(a + (b - a) * weight)
+            picked.append(a if a == b else a + (b - a) * weight)
         result[(s.group, s.column)] = picked
     return result
 

@@ -24,6 +24,7 @@ SHAPES = {
     "hot_value": lambda r: [7.0] * 300 + [r.random() * 100 for _ in range(200)],
     "constant": lambda r: [4.5] * 50,
     "single": lambda r: [1.25],
+    "huge": lambda r: [-1.7e308, 1.7e308, 0.0, 5e-324] + [r.uniform(-1e300, 1e300) for _ in range(100)],
     "negative": lambda r: [r.gauss(-5, 3) for _ in range(400)],
 }
 PROBABILITIES = [0.0, 0.005, 0.25, 0.5, 0.75, 0.995, 1.0]
@@ -54,6 +55,14 @@ def test_grouped_quantiles(spark, monkeypatch):
         np.testing.assert_allclose(got[(g, "v")], np.quantile(mine, [0.25, 0.5]))
 
 
+def test_quantiles_with_infinities(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "LIST_ROWS", 2)
+    inf = float("inf")
+    data = [-inf] * 5 + [1.0, 2.0, 3.0] + [1.7976931348623157e308, inf, inf]
+    got = quantiles.exact_quantiles(values_frame(spark, data), ["v"], [0.0, 0.5, 0.6, 0.8, 1.0])
+    assert got[(None, "v")] == [-inf, 1.0, 2.0, 1.7976931348623157e308, inf]
+
+
 def test_quantiles_of_nothing(spark):
     df = values_frame(spark, [None, None])
     assert quantiles.exact_quantiles(df, ["v"], [0.5])[(None, "v")] == [None]
