@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Right-closed report ranges (low, high, label).
 AMOUNT_RANGES = [
     (0.0, 100.0, "<$100"),
     (100.0, 500.0, "$100-500"),

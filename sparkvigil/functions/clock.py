@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Day names from Monday, and the hours the batch report calls late.
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 LATE_NIGHT_HOURS = [0, 1, 2, 3, 4, 5, 22, 23]
 

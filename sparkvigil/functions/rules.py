@@ -33,6 +33,13 @@ DEFAULT_VOLATILITY = 0.01
 HIGH_RISK_MERCHANTS = ["electronics", "travel", "jewelry"]
 RISK_MARKS = {"CRITICAL": "🔴", "HIGH": "🟠", "MEDIUM": "🟡", "LOW": "🔵", "LEGIT": "✅"}
 HIGH_VALUE_AMOUNT = 1000.0
+EXCEPTIONAL_AMOUNT = ("💰 Exceptionally high amount (>$5000)", "high")
+VERY_HIGH_AMOUNT = ("💰 Very high amount (>$2000)", "high")
+HIGH_AMOUNT = ("💰 High amount (>$1000)", "medium")
+RISKY_MERCHANT = ("🏪 High-risk merchant category", "high")
+UNUSUAL_TIME = ("⏰ Unusual transaction time", "medium")
+PREVIOUS_FRAUDS = ("👤 Customer has %d previous frauds", "high")
+CONFIDENT_MODEL = ("🤖 High model confidence in fraud", "high")
 
 
 def merchant_prior(category: Column) -> Column:
@@ -93,29 +100,19 @@ def risk_factors(
 ) -> Column:
     """Array of (factor, level) in the order amount, merchant, hour, history, model."""
 
-    def factor(text: str | Column, level: str) -> Column:
-        text = F.lit(text) if isinstance(text, str) else text
-        return F.struct(text.alias("factor"), F.lit(level).alias("level"))
+    def factor(entry: tuple[str, str], *values: Column) -> Column:
+        text, level = entry
+        shown = F.format_string(text, *values) if values else F.lit(text)
+        return F.struct(shown.alias("factor"), F.lit(level).alias("level"))
 
     by_amount = (
-        F.when(amount > 5000, factor("💰 Exceptionally high amount (>$5000)", "high"))
-        .when(amount > 2000, factor("💰 Very high amount (>$2000)", "high"))
-        .when(amount > 1000, factor("💰 High amount (>$1000)", "medium"))
-    )
-    by_merchant = F.when(
-        F.lower(merchant).isin(*HIGH_RISK_MERCHANTS), factor("🏪 High-risk merchant category", "high")
-    )
-    by_hour = F.when(unusual_hour(hour), factor("⏰ Unusual transaction time", "medium"))
-    by_history = F.when(
-        customer_fraud_count > 0,
-        factor(
-            F.format_string(
-                "👤 Customer has %d previous frauds", customer_fraud_count.cast("long")
-            ),
-            "high",
-        ),
-    )
-    by_model = F.when(
-        (prediction == 1) & (probability > 0.7), factor("🤖 High model confidence in fraud", "high")
+        F.when(amount > 5000, factor(EXCEPTIONAL_AMOUNT))
+        .when(amount > 2000, factor(VERY_HIGH_AMOUNT))
+        .when(amount > 1000, factor(HIGH_AMOUNT))
     )
+    by_merchant = F.when(F.lower(merchant).isin(*HIGH_RISK_MERCHANTS), factor(RISKY_MERCHANT))
+    by_hour = F.when(unusual_hour(hour), factor(UNUSUAL_TIME))
+    frauds = customer_fraud_count.cast("long")
+    by_history = F.when(frauds > 0, factor(PREVIOUS_FRAUDS, frauds))
+    by_model = F.when((prediction == 1) & (probability > 0.7), factor(CONFIDENT_MODEL))
     return F.array_compact(F.array(by_amount, by_merchant, by_hour, by_history, by_model))

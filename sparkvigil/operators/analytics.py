@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from sparkvigil.operators.sampling import sample_n
 from sparkvigil.plans.quantiles import exact_quantiles
 from sparkvigil.sources.schemas import FEATURES
 
+# Length of the top lists, reach of the box fences in quartile ranges.
 TOP = 10
 FENCE = 1.5
 
@@ -266,42 +269,39 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
         *[F.avg(c).alias(f"mean_{c}") for c in names],
         *[(F.min(c) < F.max(c)).alias(f"varies_{c}") for c in names],
     ).first()
+    if any(first[f"mean_{c}"] is not None and math.isnan(first[f"mean_{c}"]) for c in names):
+        # NaN is a missing value here.
+        values = [F.col(c).cast("double") for c in names]
+        known = [F.when(~F.isnan(v), v).alias(c) for v, c in zip(values, names)]
+        return correlation_matrix(df.select(*known), names)
     varying = [c for c in names if first[f"varies_{c}"]]
     pairs = [(a, b) for i, a in enumerate(varying) for b in varying[i + 1 :]]
-    if not pairs:
-        values = df.sparkSession.range(1)
-    elif all(first[f"n_{c}"] == first["rows"] for c in varying):
-        values = _centred_correlations(df, varying, pairs, first)
-    else:
-        values = df.agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in pairs])
-
-    def entry(a: str, b: str) -> Column:
-        if (a, b) in pairs or (b, a) in pairs:
-            value = F.col(f"`{a}~{b}`" if (a, b) in pairs else f"`{b}~{a}`")
-        else:
-            value = F.lit(1.0 if a == b and a in varying else None)
-        return F.struct(
-            F.lit(a).alias("feature_a"),
-            F.lit(b).alias("feature_b"),
-            value.cast("double").alias("correlation"),
-        )
-
-    return values.select(F.inline(F.array(*[entry(a, b) for a in names for b in names])))
+    found = {(c, c): 1.0 for c in varying}
+    if pairs and all(first[f"n_{c}"] == first["rows"] for c in varying):
+        found |= _centred_correlations(df, varying, pairs, first)
+    elif pairs:
+        row = df.agg(*[F.corr(a, b) for a, b in pairs]).first()
+        found |= {p: None if v is None or math.isnan(v) else v for p, v in zip(pairs, row)}
+    rows = [(a, b, found.get((a, b), found.get((b, a)))) for a in names for b in names]
+    return df.sparkSession.createDataFrame(
+        rows, "feature_a string, feature_b string, correlation double"
+    )
 
 
 def _centred_correlations(df, names, pairs, first):
-    """One column per pair, from sums of products of the deviations from the mean."""
+    """Correlation per pair from sums of products of the deviations from the mean."""
     squares = [(c, c) for c in names]
     off = df.select(*[(F.col(c) - F.lit(first[f"mean_{c}"])).alias(c) for c in names])
     sums = off.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[F.sum(c).alias(f"sum_{c}") for c in names],
         *[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for a, b in [*squares, *pairs]],
-    )
+    ).first()
 
-    def joint(a: str, b: str) -> Column:
-        return F.col(f"`{a}*{b}`") - F.col(f"sum_{a}") * F.col(f"sum_{b}") / F.col("rows")
+    def joint(a: str, b: str) -> float:
+        return sums[f"{a}*{b}"] - sums[f"sum_{a}"] * sums[f"sum_{b}"] / first["rows"]
 
-    return sums.select(
-        *[(joint(a, b) / F.sqrt(joint(a, a) * joint(b, b))).alias(f"{a}~{b}") for a, b in pairs]
-    )
+    spreads = {c: math.sqrt(max(joint(c, c), 0.0)) for c in names}
+    return {
+        (a, b): joint(a, b) / (spreads[a] * spreads[b]) if spreads[a] * spreads[b] else None
+        for a, b in pairs
+    }

@@ -15,6 +15,7 @@ from sparkvigil.plans.skew import BROADCAST_ROWS, MAX_GROUP_ROWS, lookup_join, s
 from sparkvigil.session import stage
 from sparkvigil.sources.schemas import TRANSACTION_SCHEMA
 
+# History frame, amount quartiles, capping quantiles.
 HISTORY_ROWS = 100
 QUARTILES = [0.25, 0.5, 0.75]
 CAP_PROBABILITIES = [0.005, 0.995]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkvigil.functions import clock, rules, text
 from sparkvigil.sources.schemas import BATCH_RESULT_COLUMNS
 
+# Fixed value: default confidence of an alert.
 ALERT_THRESHOLD = 0.8
 SUMMARY_COLUMNS = BATCH_RESULT_COLUMNS[:4] + ["prediction", "confidence"]
 

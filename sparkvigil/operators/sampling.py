@@ -11,6 +11,7 @@ from sparkvigil.functions.hashing import HASH_SPAN, key_fraction, key_hash
 from sparkvigil.plans.quantiles import order_statistics, series_of
 from sparkvigil.session import stage
 
+# Rows per class after balancing, and the seed.
 TARGET_ROWS = 250_000
 SEED = 42
 

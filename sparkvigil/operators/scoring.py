@@ -14,6 +14,7 @@ from sparkvigil.functions import amounts, clock, rules, text
 from sparkvigil.operators.features import Preprocessing, with_time_features
 from sparkvigil.operators.models import assemble
 from sparkvigil.plans.skew import MAX_GROUP_ROWS, lookup_join, snapshot_join
+from sparkvigil.session import stage
 from sparkvigil.sources.schemas import BATCH_RESULT_COLUMNS, FEATURES
 from sparkvigil.sources.tables import scenarios_df
 
@@ -219,7 +220,12 @@ def score(
 
 
 def score_batch(batch: DataFrame, scorer: Scorer, model: str) -> DataFrame:
-    """Parsed batch rows to report rows with one model; the plan does not depend on the row count."""
+    """Parsed batch rows to report rows with one model; the plan does not depend on the row count.
+
+    The parsed rows are written once: looking up history reads them more than once, and parsing text
+    again would cost more than that.
+    """
+    batch = stage(batch, "batch")
     lowered = batch.withColumn("merchant_category", F.lower("merchant_category"))
     only = replace(scorer, models={model: scorer.models[model]})
     return batch_result(one_model(score(lowered, only)), "amount_original")

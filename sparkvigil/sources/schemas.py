@@ -18,7 +18,7 @@ TRANSACTION_SCHEMA = T.StructType(
     ]
 )
 
-# Column order of the batch file; a batch carries no label.
+# Column order of the batch file, which carries no label.
 BATCH_SCHEMA = T.StructType(
     [
         T.StructField("customer_id", T.StringType()),
@@ -31,7 +31,7 @@ BATCH_SCHEMA = T.StructType(
 BATCH_REQUIRED = ["amount", "merchant_category", "transaction_timestamp"]
 NO_CUSTOMER = "N/A"
 
-# Fixed order: position i of the feature vector is FEATURES[i].
+# Position i of the feature vector is FEATURES[i].
 FEATURES = [
     "amount",
     "hour",
@@ -43,6 +43,7 @@ FEATURES = [
     "merchant_fraud_volatility",
 ]
 
+# Columns of the batch result.
 BATCH_RESULT_COLUMNS = [
     "transaction_id",
     "customer_id",

@@ -95,6 +95,7 @@ def read_batch(spark: SparkSession, path: str, formats: tuple[str, ...] = ()) ->
 
 def batch_template(spark: SparkSession) -> DataFrame:
     """The three sample rows of the batch file format."""
+    # Fixed values.
     rows = [
         ("1001", "50001", "2024-01-15 14:30:00", 150.0, "electronics"),
         ("1002", "50002", "2024-01-15 22:15:00", 2500.0, "travel"),
@@ -152,6 +153,7 @@ def schema_overview(df: DataFrame) -> DataFrame:
 
 def scenarios_df(spark: SparkSession) -> DataFrame:
     """Four hand-written transactions with complete feature values."""
+    # Fixed values, features in model order.
     rows = [
         ("Normal Transaction", "grocery", 50.0, 14, 3, 0.01, 0.01, 100, 0, 0.005),
         ("Slightly Suspicious", "electronics", 500.0, 22, 6, 0.05, 0.03, 10, 1, 0.02),
@@ -168,6 +170,7 @@ def scenarios_df(spark: SparkSession) -> DataFrame:
 
 def diagnostic_cases(spark: SparkSession) -> DataFrame:
     """One transaction every model should pass and one every model should flag."""
+    # Fixed values.
     rows = [("normal", "grocery", 50.0, 14, 4, 0), ("suspicious", "electronics", 5000.0, 3, 4, 2)]
     return spark.createDataFrame(
         rows,

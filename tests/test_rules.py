@@ -165,6 +165,13 @@ def test_correlation_matches_pandas_with_and_without_gaps(spark):
                 assert value == pytest.approx(want.loc[x, y], abs=1e-9)
 
 
+def test_correlation_treats_nan_as_missing(spark):
+    rows = [(1.0, 2.0), (2.0, 4.0), (float("nan"), 9.0), (3.0, 6.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = {(r.feature_a, r.feature_b): r.correlation for r in analytics.correlation_matrix(df, ["a", "b"]).collect()}
+    assert got[("a", "b")] == pytest.approx(1.0)
+
+
 def test_metrics_of_an_all_fraud_scorer(spark):
     rows = [("m", y, 1, 0.9) for y in (0, 0, 1, 1)]
     df = spark.createDataFrame(rows, "model string, label int, prediction int, fraud_probability double")
