@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkvigil.llm import langid, mixing, packing, secrets, simhash
+from sparkvigil.llm import ann, html_text, langid, mixing, packing, secrets, simhash, topk, warc
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,6 +24,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    captures = warc.read_back(pages, warc.archive_pages(pages), payload=False)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read(spark, sf_dir, "documents"))
     written = lambda spans: F.concat_ws(
@@ -49,7 +55,21 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_pack, op2_language, op4_secrets, op5_simhash, op6_mix)
+    f.__name__: f
+    for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op8_html, op9_ann, op10_topk)
 }
 ORACLES: dict[str, str] = {}
