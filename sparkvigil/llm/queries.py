@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkvigil.llm import ann, html_text, langid, mixing, packing, secrets, simhash, topk, warc
+from sparkvigil.llm import ann, html_text, langid, licenses, mixing, packing, secrets, simhash, topk, warc
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -55,6 +55,23 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
+    begins = F.transform("base", lambda b: b["begin"])
+    base = F.transform("base", lambda b: b["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(begins).cast("long").alias("first_word"),
+        F.array_max(begins).cast("long").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, "templates")).alias("labels"),
+        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
+    )
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(read(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -70,6 +87,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op8_html, op9_ann, op10_topk)
+    for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op7_licenses, op8_html, op9_ann, op10_topk)
 }
 ORACLES: dict[str, str] = {}
