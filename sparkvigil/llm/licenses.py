@@ -96,12 +96,16 @@ def words_of(text: Column) -> Column:
     return bind(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), inner)
 
 
+def words_literal(words: list[str]) -> Column:
+    return F.expr("array(" + ", ".join(f"'{w}'" for w in words) + ")")
+
+
 def inverse_frequencies(docs: DataFrame, text: str = "text") -> dict[str, float]:
     """ln((1 + documents) / (1 + documents with the word)) of every licence word.
 
     One row for each word of the fixed templates, and one for the number of documents.
     """
-    held = F.array_intersect(words_of(F.col(text)), F.array(*map(F.lit, vocabulary())))
+    held = F.array_intersect(words_of(F.col(text)), words_literal(vocabulary()))
     counts = docs.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).groupBy("word").count()
     found = {r["word"]: r["count"] for r in counts.collect()}
     total = found.get("", 0)
@@ -116,7 +120,7 @@ def places(words: Column, wanted: Column) -> Column:
 
 def stands_at(words: Column, phrase: str, begin: Column) -> Column:
     parts = phrase.split()
-    return F.slice(words, begin + 1, len(parts)) == F.array(*map(F.lit, parts))
+    return F.slice(words, begin + 1, len(parts)) == words_literal(parts)
 
 
 def phrase_places(words: Column, phrase: str, anchor: str, anchors: Column) -> Column:
@@ -135,8 +139,15 @@ def postings() -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def literal_map(entries: dict[str, Column]) -> Column:
-    return F.create_map(*[c for word, value in entries.items() for c in (F.lit(word), value)])
+def posting_map(weights: dict[str, float]) -> str:
+    """The postings as one SQL map, each with the weight of its word; words are letters and digits."""
+    entries = []
+    for word, at in postings().items():
+        posts = ", ".join(
+            f"named_struct('t', {t}, 'p', {p}, 'v', {weights[word]!r}D)" for t, p in at
+        )
+        entries.append(f"'{word}', array({posts})")
+    return f"map({', '.join(entries)})"
 
 
 def base_places(words: Column, at: Column, weights: dict[str, float]) -> Column:
@@ -153,18 +164,12 @@ def base_places(words: Column, at: Column, weights: dict[str, float]) -> Column:
 
 def votes_of(at: Column, rare: Column, weights: dict[str, float]) -> Column:
     """(template, begin, weight) of every looked-up word and posting, sorted."""
-    weight = literal_map({w: F.lit(v) for w, v in weights.items()})
-    posted = literal_map(
-        {
-            w: F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in places_of])
-            for w, places_of in postings().items()
-        }
-    )
+    posted = F.expr(posting_map(weights))
 
     def cast_votes(x: Column) -> Column:
         return F.transform(
             posted[x["w"]],
-            lambda q: F.struct(q["t"].alias("t"), (x["p"] - q["p"]).alias("begin"), weight[x["w"]].alias("v")),
+            lambda q: F.struct(q["t"].alias("t"), (x["p"] - q["p"]).alias("begin"), q["v"].alias("v")),
         )
 
     looked_up = F.filter(at, lambda x: F.array_contains(rare, x["w"]))
@@ -247,10 +252,10 @@ def with_licenses(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """
     weights = inverse_frequencies(docs, text)
     # Highest weight first; a document's own are those of this list that it holds.
-    by_weight = F.array(*map(F.lit, sorted(weights, key=lambda w: (-weights[w], w))))
-    base = F.array(*map(F.lit, sorted({rarest(p, weights) for p in BASE_PHRASES})))
+    by_weight = words_literal(sorted(postings(), key=lambda w: (-weights[w], w)))
+    base = words_literal(sorted({rarest(p, weights) for p in BASE_PHRASES}))
     needed = {rarest(p, weights) for _, phrases in TEMPLATES.values() for p in [*phrases, *BASE_PHRASES]}
-    anchors = F.array(*map(F.lit, sorted(needed)))
+    anchors = words_literal(sorted(needed))
 
     def look_up(words: Column) -> Column:
         # Without the rarest word of any phrase nothing can be verified: the words are not walked through.
