@@ -109,8 +109,7 @@ def nearest(
     ).first()
     longest = sums["longest"] or 1.0
     drawn = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(pivots).collect()
-    base = np.array([r["vector"] for r in drawn]).reshape(len(drawn), -1)
-    base = lifted(base, longest) if len(drawn) else base
+    base = lifted(np.array([r["vector"] for r in drawn]), longest) if drawn else np.zeros((0, 0))
 
     def describe(column: str, query: bool):
         @F.arrow_udf("array<smallint>")

@@ -182,7 +182,7 @@ def search(
     reach = [(r["block"], r["longest"]) for r in ranged.groupBy("block").agg(F.max("norm").alias("longest")).collect()]
     seeds = rows.orderBy(F.desc("norm"), "vec_id").limit(SEED_ROWS).collect()
     seed_ids = np.array([r["vec_id"] for r in seeds], dtype=np.int64)
-    seed_rows = np.array([r["vector"] for r in seeds], dtype=np.int64).reshape(len(seeds), -1)
+    seed_rows = np.array([r["vector"] for r in seeds], dtype=np.int64) if seeds else np.zeros((0, 0), dtype=np.int64)
 
     numbers = np.array([b for b, _ in reach], dtype=np.int32)
     longest = np.array([m for _, m in reach])
