@@ -23,6 +23,7 @@ FROM events"""
 JOINED = """
 SELECT tx.*, c_acctbal, c_mktsegment FROM tx JOIN customer ON c_custkey = customer_id
 WHERE c_acctbal >= 0"""
+KNOWN = "SELECT tx.* FROM tx JOIN customer ON c_custkey = customer_id"
 
 
 def timed(source: str) -> str:
@@ -86,7 +87,7 @@ def timed_tx(body: str) -> str:
 
 def feats(body: str) -> str:
     return (
-        f"WITH tx AS ({TX}), joined AS ({JOINED}), t AS ({timed('joined')}), h AS ({history('t')}), "
+        f"WITH tx AS ({TX}), joined AS ({KNOWN}), t AS ({timed('joined')}), h AS ({history('t')}), "
         f"stats AS ({stats('joined')}), q AS ({quartiles('joined')}), b AS ({bounds('joined')}), "
         f"feats AS ({FEATS})\n{body}"
     )
@@ -397,10 +398,10 @@ ORDER BY transaction_id LIMIT 50"""),
     "row_count": tx(f"SELECT count(*) AS row_count FROM ({JOINED})"),
     "preprocessing_state": tx(f"""
 SELECT q25, q50, q75, lower_bound, upper_bound,
-       round((SELECT count(*) FILTER (is_fraud = 0)::DOUBLE / count(*) FILTER (is_fraud = 1) FROM ({JOINED})), 6)
+       round((SELECT count(*) FILTER (is_fraud = 0)::DOUBLE / count(*) FILTER (is_fraud = 1) FROM ({KNOWN})), 6)
          AS fraud_weight,
        CAST(8 AS INTEGER) AS feature_count, 0.5e0 AS target_ratio
-FROM ({quartiles(f'({JOINED})')}), ({bounds(f'({JOINED})')})"""),
+FROM ({quartiles(f'({KNOWN})')}), ({bounds(f'({KNOWN})')})"""),
     "merchant_categories": tx("SELECT DISTINCT merchant_category FROM tx"),
     "time_features": timed_tx("""
 SELECT transaction_id, hour, day_of_week,
@@ -521,7 +522,7 @@ SELECT merchant_category, round(max(merchant_fraud_rate), 6) AS merchant_fraud_r
     "histogram_rate": histogram("customer_fraud_rate"),
     "box_stats_amount": box("amount"),
     "box_stats_rate": box("customer_fraud_rate"),
-    "score_batch": result("SELECT * FROM result"),
+    "score_batch_rule": result("SELECT * FROM result"),
     "score_stream": result("SELECT * FROM result"),
     "batch_rejects": tx(f"""
 SELECT transaction_id, customer_id, merchant_category, reject_reason FROM ({BATCH})

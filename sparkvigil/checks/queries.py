@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkvigil.checks.ml_queries import ML_QUERIES
 from sparkvigil.checks.rule_scores import with_rule_prediction, with_rule_scores
 from sparkvigil.functions import clock, rules, text
 from sparkvigil.operators import (
@@ -17,19 +18,13 @@ from sparkvigil.operators import (
     reports,
     sampling,
     scoring,
-    training,
 )
 from sparkvigil.session import scratch_path, stage
 from sparkvigil.sources import retail, tables
 from sparkvigil.sources.schemas import FEATURES
 from sparkvigil.streaming.scoring import read_scored, score_stream
 
-# Short fits: the registered queries check the plan, not the quality of the models.
-QUICK_PARAMS = {
-    models.RANDOM_FOREST: {"numTrees": 10, "maxDepth": 4, "minInstancesPerNode": 10, "seed": 42},
-    models.GRADIENT_BOOSTED: {"maxIter": 3, "maxDepth": 3, "stepSize": 0.05, "seed": 42},
-    models.LOGISTIC: {"maxIter": 20, "regParam": 0.01, "elasticNetParam": 0.5},
-}
+# Bound on the rows of each class that the registered queries fit their models on.
 BALANCE_ROWS = 1_000
 SAMPLE_ROWS = 500
 # Small enough that the test customers count as hot, so the splitting plans are exercised.
@@ -92,17 +87,6 @@ def batch_result(spark: SparkSession, d: str) -> DataFrame:
     return score_rows(batch_upload(spark, d))
 
 
-training_run = once(
-    "run",
-    lambda s, d: training.train_run(
-        retail.transactions(s, d),
-        retail.customers(s, d),
-        params=QUICK_PARAMS,
-        target_rows=BALANCE_ROWS,
-    ),
-)
-
-
 # ---- sources and sinks --------------------------------------------------------------------------
 
 
@@ -116,7 +100,7 @@ def join_customers_split(spark, d):
 
 def _joined(spark, d, **options):
     joined = features.join_customers(
-        retail.transactions(spark, d), retail.customers(spark, d), **options
+        retail.transactions(spark, d), retail.good_customers(spark, d), **options
     )
     return joined.select(
         "customer_id", "transaction_id", "amount", "merchant_category", "is_fraud", "c_acctbal", "c_mktsegment"
@@ -127,7 +111,7 @@ def csv_transactions(spark, d):
     """Transactions and customers through their CSV files, then joined."""
     tx_path, customer_path = scratch_path(spark, "tx_csv"), scratch_path(spark, "customers_csv")
     tables.write_csv(retail.transactions(spark, d), tx_path)
-    tables.write_csv(retail.customers(spark, d), customer_path)
+    tables.write_csv(retail.good_customers(spark, d), customer_path)
     good, _ = tables.split_rejects(tables.read_transactions(spark, tx_path))
     joined = features.join_customers(good, tables.read_customers(spark, customer_path))
     return joined.select(
@@ -143,7 +127,8 @@ def csv_batch(spark, d):
     tables.write_csv(
         reports.summary_report(score_rows(tables.read_csv_text(spark, batch_path))), report_path
     )
-    return tables.read_csv_text(spark, report_path)
+    report = tables.read_csv_text(spark, report_path)
+    return report.filter(F.col(tables.CORRUPT).isNull()).drop(tables.CORRUPT)
 
 
 def processed_round_trip(spark, d):
@@ -211,9 +196,6 @@ def amount_quantiles(spark, d):
     return features.amount_quantiles(retail.transactions(spark, d))
 
 
-def amount_quantiles_approx(spark, d):
-    return features.amount_quantiles(retail.transactions(spark, d), rel_err=0.05)
-
 
 def amount_category(spark, d):
     tx = retail.transactions(spark, d)
@@ -369,20 +351,11 @@ def balance_hash(spark, d):
     return _balanced(spark, d, "hash")
 
 
-def balance_native(spark, d):
-    return _balanced(spark, d, "native")
-
 
 def split_hash(spark, d):
     return sampling.with_split(retail.transactions(spark, d)).select("transaction_id", "split")
 
 
-def split_native(spark, d):
-    train, test = sampling.split(sampling.shuffle_rows(retail.transactions(spark, d)), method="native")
-    return train.select("transaction_id", F.lit("train").alias("split")).unionByName(
-        test.select("transaction_id", F.lit("test").alias("split"))
-    )
-
 
 def sample_n_hash(spark, d):
     return analytics.sample_for_scatter(feature_store(spark, d), SAMPLE_ROWS)
@@ -501,7 +474,7 @@ def box_stats_rate(spark, d):
 # ---- batch scoring and reports ------------------------------------------------------------------
 
 
-def score_batch(spark, d):
+def score_batch_rule(spark, d):
     return batch_result(spark, d)
 
 
@@ -664,42 +637,24 @@ def scaled_features(spark, d):
     return rounded(out, "scaled_value")
 
 
-def scenario_scores(spark, d):
-    return scoring.scenario_scores(spark, training_run(spark, d).scorer)
-
-
-def train_evaluate(spark, d):
-    return evaluation.with_quality_band(training_run(spark, d).metrics)
-
-
-def feature_importance(spark, d):
-    return models.feature_importance(spark, training_run(spark, d).trained.models, top=5)
-
-
-def score_ml(spark, d):
-    good, _ = tables.split_rejects(tables.parse_batch(batch_upload(spark, d)))
-    good = good.withColumn("customer_id", F.col("customer_id").cast("long"))
-    return scoring.score_batch(good, training_run(spark, d).scorer, models.GRADIENT_BOOSTED)
 
 
-def compare_models_ml(spark, d):
-    scorer = training_run(spark, d).scorer
-    scored = scoring.score(retail.transactions(spark, d).drop("is_fraud"), scorer)
-    agreement = scoring.model_agreement(scored, ["transaction_id"], len(scorer.models))
-    return scoring.with_vote(agreement)
 
 
-def run_summary(spark, d):
-    return training.run_summary(training_run(spark, d))
 
 
 # ---- streaming ----------------------------------------------------------------------------------
 
 
 def score_stream_query(spark, d):
-    sink, checkpoint = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_checkpoint")
-    raw = retail.batch_text(retail.as_transactions(retail.event_stream(spark, d)))
-    score_stream(raw, score_rows, sink, checkpoint).awaitTermination()
+    """The events as four files, scored one file at a time, with a second stream into the same sink."""
+    sink, source = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_source")
+    events = spark.read.schema(retail.EVENT_SCHEMA).parquet(f"{d}/events.parquet")
+    first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    for name, part in (("one", events.filter(first)), ("two", events.filter(~first))):
+        part.repartition(2).write.parquet(f"{source}/{name}")
+        raw = retail.batch_text(retail.as_transactions(retail.event_stream(spark, f"{source}/{name}")))
+        score_stream(raw, score_rows, sink, scratch_path(spark, "stream_checkpoint")).awaitTermination()
     return read_scored(spark, sink, batch_result(spark, d))
 
 
@@ -718,7 +673,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         time_features,
         dow_conventions,
         amount_quantiles,
-        amount_quantiles_approx,
         amount_category,
         customer_history,
         customer_history_5,
@@ -740,9 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         label_distribution,
         class_weights,
         balance_hash,
-        balance_native,
         split_hash,
-        split_native,
         sample_n_hash,
         describe_amount,
         describe_rates,
@@ -766,7 +718,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         histogram_rate,
         box_stats_amount,
         box_stats_rate,
-        score_batch,
+        score_batch_rule,
         batch_rejects,
         merchant_prior,
         risk_factors,
@@ -798,12 +750,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         vote_decision,
         discrimination_check,
         scaled_features,
-        scenario_scores,
-        train_evaluate,
-        feature_importance,
-        score_ml,
-        compare_models_ml,
-        run_summary,
     ]
 }
 QUERIES["score_stream"] = score_stream_query
+QUERIES |= ML_QUERIES

@@ -63,10 +63,6 @@ def risk_mark(level: Column) -> Column:
     return F.element_at(marks, level)
 
 
-def is_high_risk(prediction: Column, probability: Column, threshold: float = 0.8) -> Column:
-    return (prediction == 1) & (probability >= threshold)
-
-
 def probability_band(probability: Column) -> Column:
     return F.when(probability > 0.8, "high").when(probability > 0.5, "medium").otherwise("low")
 

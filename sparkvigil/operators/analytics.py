@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkvigil.functions import amounts, clock, text
 from sparkvigil.operators.sampling import sample_n
-from sparkvigil.plans.quantiles import exact_quantiles
+from sparkvigil.plans.quantiles import exact_quantiles, grouped_quantiles
 from sparkvigil.sources.schemas import FEATURES
 
 # Length of the top lists, reach of the box fences in quartile ranges.
@@ -208,24 +208,21 @@ def box_stats(df: DataFrame, column: str, by: str = "target") -> DataFrame:
 
     ``df`` should be a stored table: the quartiles take a few passes over it.
     """
-    groups = exact_quantiles(df, [column], [0.0, 0.25, 0.5, 0.75, 1.0], method="linear", by=by)
-    rows = [
-        (float(group), *values, *_fences(values[1], values[3]))
-        for (group, _), values in groups.items()
-        if values[0] is not None
-    ]
-    return df.sparkSession.createDataFrame(
-        rows,
-        f"{by} double, min double, q25 double, median double, q75 double, max double, "
-        "lower_fence double, upper_fence double",
+    found = grouped_quantiles(df, column, [0.0, 0.25, 0.5, 0.75, 1.0], by)
+    low, q25, median, q75, high = [F.col("values")[i] for i in range(5)]
+    reach = F.lit(FENCE) * (q75 - q25)
+    return found.select(
+        F.col(by).cast("double").alias(by),
+        low.alias("min"),
+        q25.alias("q25"),
+        median.alias("median"),
+        q75.alias("q75"),
+        high.alias("max"),
+        (q25 - reach).alias("lower_fence"),
+        (q75 + reach).alias("upper_fence"),
     )
 
 
-def _fences(q25: float, q75: float) -> tuple[float, float]:
-    reach = FENCE * (q75 - q25)
-    return q25 - reach, q75 + reach
-
-
 def sample_for_scatter(df: DataFrame, n: int = 5_000, key: str = "transaction_id") -> DataFrame:
     """The points of the transactions-versus-frauds scatter."""
     return sample_n(df, n, key).select(

@@ -171,10 +171,13 @@ def customer_profile(
 
 
 def merchant_stats(df: DataFrame) -> DataFrame:
-    """Mean and sample deviation of the label per category; 0 where there is only one row."""
+    """Mean and sample deviation of the label per category; 0 where there is only one row.
+
+    Categories are one whatever their letter case; the key is in lower case.
+    """
     return (
         df.filter(F.col("merchant_category").isNotNull())
-        .groupBy("merchant_category")
+        .groupBy(F.lower("merchant_category").alias("merchant_category"))
         .agg(
             F.avg("is_fraud").alias("merchant_fraud_rate"),
             F.coalesce(F.stddev_samp("is_fraud"), F.lit(0.0)).alias("merchant_fraud_volatility"),
@@ -186,11 +189,20 @@ def with_merchant_stats(
     df: DataFrame, stats: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False
 ) -> DataFrame:
     """Left join to the category statistics; 0 for a null or unknown category."""
-    return lookup_join(df, stats, ["merchant_category"], max_rows, stored).fillna(
+    return join_merchant_stats(df, stats, max_rows, stored).fillna(
         0, subset=["merchant_fraud_rate", "merchant_fraud_volatility"]
     )
 
 
+def join_merchant_stats(
+    df: DataFrame, stats: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False
+) -> DataFrame:
+    """Left join to the category statistics in any letter case."""
+    keyed = df.withColumn("_category", F.lower("merchant_category"))
+    renamed = stats.withColumnRenamed("merchant_category", "_category")
+    return lookup_join(keyed, renamed, ["_category"], max_rows, stored).drop("_category")
+
+
 def fit_preprocessing(df: DataFrame, rel_err: float = 0.0) -> Preprocessing:
     """Learn quartiles, capping bounds and category statistics from a stored table."""
     values = quantiles(df, "amount", [*QUARTILES, *CAP_PROBABILITIES], rel_err)
@@ -204,12 +216,12 @@ def stage_base(
 ) -> DataFrame:
     """The columns the features need, of known customers.
 
-    A join is written once, so that the fit and the feature pass read it instead of joining again.
-    Without customers the input is read as it is: it should be a stored table.
+    The rows are written once, so that the fit and the feature pass read them instead of joining or
+    parsing again.
     """
     tx = tx.select(*TRANSACTION_SCHEMA.names)
     if customers is None:
-        return tx
+        return stage(tx, "transactions")
     keys = customers.select("customer_id")
     return stage(join_customers(tx, keys, max_group_rows), "joined")
 
@@ -249,6 +261,7 @@ def feature_table(
     ).select(*PROCESSED_COLUMNS, F.col("is_fraud").cast("double").alias("target"))
 
 
+# Columns of the processed table.
 PROCESSED_COLUMNS = [
     "customer_id",
     "transaction_id",

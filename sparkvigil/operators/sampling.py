@@ -79,9 +79,13 @@ def balance(
     seed: int = SEED,
     method: str = "hash",
     key: str = "transaction_id",
+    cap_fraud: bool = True,
 ) -> DataFrame:
     """Legitimate rows sampled down and fraud rows repeated up to about ``target`` rows each.
 
+    More fraud rows than ``target`` are sampled down too, which bounds the rows a model is fitted on;
+    ``cap_fraud=False`` keeps them all.
+
     ``hash`` decides by the key alone and gives the same rows on any cluster. ``native`` uses Spark's
     own sampling, and never returns more than ``target`` fraud rows.
     """
@@ -91,7 +95,9 @@ def balance(
     if method == "hash":
         if legit > target:
             legit_rows = legit_rows.filter(key_fraction(key, f"under{seed}") < target / legit)
-        if fraud < target:
+        if fraud > target and cap_fraud:
+            fraud_rows = fraud_rows.filter(key_fraction(key, f"under{seed}") < target / fraud)
+        elif fraud < target:
             whole, part = divmod(target / fraud, 1)
             extra = F.when(key_fraction(key, f"over{seed}") < part, 1).otherwise(0)
             fraud_rows = fraud_rows.withColumn(
@@ -100,7 +106,9 @@ def balance(
     elif method == "native":
         if legit > target:
             legit_rows = legit_rows.sample(False, target / legit, seed)
-        if fraud < target:
+        if fraud > target and cap_fraud:
+            fraud_rows = fraud_rows.sample(False, target / fraud, seed)
+        elif fraud < target:
             fraud_rows = at_most(fraud_rows.sample(True, target / fraud, seed), target, seed)
     else:
         raise ValueError(f"unknown balancing method {method!r}")

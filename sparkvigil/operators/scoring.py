@@ -11,9 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkvigil.functions import amounts, clock, rules, text
-from sparkvigil.operators.features import Preprocessing, with_time_features
+from sparkvigil.operators.features import (
+    Preprocessing,
+    join_merchant_stats,
+    with_time_features,
+)
 from sparkvigil.operators.models import assemble
-from sparkvigil.plans.skew import MAX_GROUP_ROWS, lookup_join, snapshot_join
+from sparkvigil.plans.skew import MAX_GROUP_ROWS, snapshot_join
 from sparkvigil.session import stage
 from sparkvigil.sources.schemas import BATCH_RESULT_COLUMNS, FEATURES
 from sparkvigil.sources.tables import scenarios_df
@@ -46,14 +50,18 @@ def with_serving_features(
 
     A feature the rows already carry wins. Otherwise history comes from the customer snapshot and
     category statistics from the fitted table; without history there, the fixed defaults apply. The
-    transaction itself counts as one more row of its customer, as it does in training.
+    transaction itself counts as one more row of its customer, as it does in training. An id that is
+    not of the snapshot's type (text, missing) has no history there; categories match in any case.
     """
     if not {"hour", "day_of_week"} <= set(df.columns):
         df = with_time_features(df, convention=scorer.convention)
     df = df.withColumnsRenamed({c: f"_given_{c}" for c in LOOKED_UP if c in df.columns})
     if scorer.profile is not None and "customer_id" in df.columns:
-        df = snapshot_join(df, scorer.profile, ["customer_id"], max_group_rows)
-    df = lookup_join(df, scorer.state.merchant_stats, ["merchant_category"], stored=True)
+        kind = scorer.profile.schema["customer_id"].dataType
+        keyed = df.withColumn("_customer", F.col("customer_id").try_cast(kind))
+        profile = scorer.profile.withColumnRenamed("customer_id", "_customer")
+        df = snapshot_join(keyed, profile, ["_customer"], max_group_rows).drop("_customer")
+    df = join_merchant_stats(df, scorer.state.merchant_stats, stored=True)
 
     def looked_up(name: str, found: Column | None, default: Column) -> Column:
         choices = [F.col(f"_given_{name}")] if f"_given_{name}" in df.columns else []

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkvigil.operators import evaluation, features, models, sampling
+from sparkvigil.operators import artifacts, evaluation, features, models, sampling
 from sparkvigil.operators.scoring import Scorer, score_all_models, with_scores
 from sparkvigil.plans.skew import MAX_GROUP_ROWS
 from sparkvigil.session import stage
@@ -22,6 +22,16 @@ class Run:
     metrics: DataFrame
     fraud_weight: float
     counts: dict
+    scored: DataFrame
+
+
+def complete():
+    """Whether a transaction has what training needs; never null."""
+    return (
+        F.col("transaction_timestamp").isNotNull()
+        & F.col("is_fraud").isNotNull()
+        & F.coalesce(F.col("amount").isNotNull() & ~F.isnan("amount"), F.lit(False))
+    )
 
 
 def processed_table(
@@ -49,9 +59,14 @@ def train_run(
     """Train and evaluate every classifier without leaking test rows into the fit.
 
     Rows are split by key first. Bounds, quartiles, category statistics and the scaler are learnt on
-    the training part, which alone is balanced; the test part keeps its natural class mix.
+    the training part, which alone is balanced; the test part keeps its natural class mix. Rows
+    without a time, an amount or a label cannot be used; they are counted and left out.
     """
     base = features.stage_base(tx, customers, max_group_rows)
+    whole = complete()
+    incomplete = base.filter(~whole).count()
+    if incomplete:
+        base = stage(base.filter(whole), "complete")
     in_training = sampling.with_split(base, seed=seed).filter(F.col("split") == "train")
     state = features.fit_preprocessing(in_training, rel_err)
     feats = features.apply_preprocessing(
@@ -75,14 +90,16 @@ def train_run(
     )
     scorer = Scorer(trained.models, scaler, state, profile)
     scored = score_all_models(with_scores(test, scorer), [F.col("target").alias("label")])
-    metrics = stage(evaluation.evaluate(stage(scored, "scored")), "metrics")
+    scored = stage(scored, "scored")
+    metrics = stage(evaluation.evaluate(scored), "metrics")
     counts = {
+        "incomplete": incomplete,
         "original": base.count(),
         "after_capping": feats.count(),
         "after_balancing": processed.count(),
         "test": test.count(),
     }
-    return Run(scorer, trained, metrics, legit / fraud, counts)
+    return Run(scorer, trained, metrics, legit / fraud, counts, scored)
 
 
 def run_summary(run: Run) -> DataFrame:
@@ -103,13 +120,11 @@ def save_run(run: Run, root: str, categories: DataFrame) -> None:
     """Persist the artefacts of a run below one root."""
     spark = run.metrics.sparkSession
     best = evaluation.best_model(run.metrics)
-    models.save_artifacts(
+    artifacts.save_artifacts(
         root,
-        run.scorer.models,
-        run.scorer.scaler,
+        run.scorer,
         models.preprocessing_state(spark, run.scorer.state, run.fraud_weight),
         models.model_registry(run.metrics, best, run.fraud_weight),
         categories,
-        run.scorer.state.merchant_stats,
         best.first()["best_by_f1"],
     )

@@ -39,7 +39,7 @@ def running_totals(
     if hot is None:
         out = _in_one_window(sized(df, keys, total), keys, order, names, lag)
     else:
-        cold, rows = split_hot(df, keys, hot)
+        cold, rows = split_hot(df, keys, hot, stored=False)
         out = _in_one_window(sized(cold, keys, total), keys, order, names, lag).unionByName(
             _in_blocks(rows, hot, keys, order, names, lag)
         )

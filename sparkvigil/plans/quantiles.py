@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 # Bins per bracket and pass, and the bracket size at which the values themselves are listed.
 BINS = 1024
 LIST_ROWS = 4_000
-# Grouped quantiles keep some thousand counters per group on the driver; they are meant for labels,
-# and more groups than this is an error.
-MAX_GROUPS = 32
+# Relative accuracy asked of the first sketch, and how far its brackets reach beyond a rank.
+SKETCH_ACCURACY = 10_000
+SKETCH_ERROR = 3e-4
+# Grouped quantiles: a group up to this size is left to the built-in exact percentile of one task;
+# longer ones are narrowed by range, so many at a time.
+GROUP_ROWS = 1_000_000
+GROUPS_AT_A_TIME = 32
 
 
 @dataclass
@@ -38,6 +42,7 @@ class Bracket:
     below: int
     inside: int
     ranks: set[int] = field(default_factory=set)
+    stuck: bool = False
 
 
 def _value(column: str) -> Column:
@@ -45,8 +50,13 @@ def _value(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def series_of(df: DataFrame, columns: list[str], by: str | None = None) -> list[Series]:
-    """Count, minimum and maximum of each column (per value of ``by``), in one pass."""
+def series_of(
+    df: DataFrame, columns: list[str], by: str | None = None, above: int = 0
+) -> list[Series]:
+    """Count, minimum and maximum of each column, in one pass.
+
+    With ``by`` of each group of more than ``above`` rows, of which there are few for a large ``above``.
+    """
     aggs = []
     for i, c in enumerate(columns):
         aggs += [
@@ -55,9 +65,8 @@ def series_of(df: DataFrame, columns: list[str], by: str | None = None) -> list[
             F.max(_value(c)).alias(f"hi{i}"),
         ]
     grouped = df.filter(F.col(by).isNotNull()).groupBy(by) if by else df.groupBy()
-    rows = grouped.agg(*aggs).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"{by} has more than {MAX_GROUPS} values; it is not a grouping label")
+    counted = grouped.agg(F.count(F.lit(1)).alias("_size"), *aggs)
+    rows = (counted.filter(F.col("_size") > above) if by else counted).collect()
     return [
         Series(r[by] if by else None, c, r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"])
         for r in rows
@@ -70,22 +79,28 @@ def order_statistics(
 ) -> dict[tuple[object, str, int], float]:
     """The values at the given 0-based ranks, keyed by (group, column, rank).
 
-    Each pass counts the rows of every open bracket in equal-width bins and keeps the bin that holds
-    the rank, until the bracket is short enough to list. A pass is one scan of the columns asked for,
-    with a map-side combine down to a few thousand counters.
+    Whole columns start from a sketch: it gives a narrow bracket around each rank, and one pass of
+    conditional counts proves which ranks lie in theirs. After that, each pass counts the rows of
+    every open bracket in equal-width bins and keeps the bin that holds the rank, until the bracket
+    is short enough to list. A pass is one scan of the columns asked for, with a map-side combine down
+    to a few thousand counters.
     """
     found: dict[tuple[object, str, int], float] = {}
     open_ = [
         Bracket(s, s.low, s.high, 0, s.rows, set(ranks)) for s, ranks in wanted if s.rows and ranks
     ]
+    if by is None:
+        large = [b for b in open_ if b.inside > LIST_ROWS and b.low < b.high]
+        open_ = [b for b in open_ if b not in large] + _sketched(df, large)
     while open_:
         for b in [b for b in open_ if b.low == b.high]:
             found.update({(b.series.group, b.series.column, r): b.low for r in b.ranks})
         open_ = [b for b in open_ if b.low < b.high]
-        wide = [b for b in open_ if b.inside > LIST_ROWS]
+        # A bracket that bins cannot narrow has ends next to each other: few values, to be listed.
+        wide = [b for b in open_ if b.inside > LIST_ROWS and not b.stuck]
         if not wide:
             break
-        open_ = [b for b in open_ if b.inside <= LIST_ROWS] + _refine(df, wide, by)
+        open_ = [b for b in open_ if b.inside <= LIST_ROWS or b.stuck] + _refine(df, wide, by)
     for i, counted in _listed(df, open_, by).items():
         b = open_[i]
         position = b.below
@@ -97,6 +112,44 @@ def order_statistics(
     return found
 
 
+def _sketched(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
+    """Brackets narrowed by a quantile sketch; ranks that it misses keep their wide bracket."""
+    runs = [(b, run) for b in brackets for run in _neighbours(sorted(b.ranks))]
+    if not runs:
+        return brackets
+    spots = []
+    for b, run in runs:
+        low, high = run[0] / b.series.rows - SKETCH_ERROR, run[-1] / b.series.rows + SKETCH_ERROR
+        ends = F.array(F.lit(max(0.0, low)), F.lit(min(1.0, high)))
+        spots.append(F.percentile_approx(_value(b.series.column), ends, SKETCH_ACCURACY))
+    ends = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(spots)]).first()
+    counts = []
+    for i, (b, _) in enumerate(runs):
+        value, (low, high) = _value(b.series.column), ends[i]
+        counts += [F.count_if(value < F.lit(low)), F.count_if((value >= F.lit(low)) & (value <= F.lit(high)))]
+    seen = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    out = []
+    for i, (b, run) in enumerate(runs):
+        below, inside = seen[2 * i], seen[2 * i + 1]
+        held = {r for r in run if below <= r < below + inside}
+        if held:
+            out.append(Bracket(b.series, ends[i][0], ends[i][1], below, inside, held))
+        if missed := set(run) - held:
+            out.append(Bracket(b.series, b.low, b.high, b.below, b.inside, missed))
+    return out
+
+
+def _neighbours(ranks: list[int]) -> list[list[int]]:
+    """Runs of ranks that follow each other."""
+    out: list[list[int]] = []
+    for r in ranks:
+        if out and r - out[-1][-1] <= 1:
+            out[-1].append(r)
+        else:
+            out.append([r])
+    return out
+
+
 def _inside(b: Bracket, by: str | None) -> Column:
     value = _value(b.series.column)
     cond = (value >= F.lit(b.low)) & (value <= F.lit(b.high))
@@ -146,7 +199,8 @@ def _refine(df, brackets, by):
         for r in sorted((r for r in bins if r["i"] == i), key=lambda r: r["bin"]):
             ranks = {k for k in b.ranks if below <= k < below + r["n"]}
             if ranks:
-                narrowed.append(Bracket(b.series, r["lo"], r["hi"], below, r["n"], ranks))
+                stuck = (r["lo"], r["hi"], r["n"]) == (b.low, b.high, b.inside)
+                narrowed.append(Bracket(b.series, r["lo"], r["hi"], below, r["n"], ranks, stuck))
             below += r["n"]
     return narrowed
 
@@ -184,8 +238,12 @@ def exact_quantiles(
     ``disc`` returns an element of the data, ``linear`` interpolates between neighbours. Nulls and
     NaN are left out. Pass a stored table: every pass reads it again, only the columns asked for.
     """
+    return _quantiles_of(df, series_of(df, columns, by), probabilities, method, by)
+
+
+def _quantiles_of(df, series, probabilities, method, by):
     needed, plans = [], []
-    for s in series_of(df, columns, by):
+    for s in series:
         spots = [_spot(p, s.rows, method) for p in probabilities] if s.rows else []
         needed.append((s, {r for lo, hi, _ in spots for r in (lo, hi)}))
         plans.append((s, spots))
@@ -211,3 +269,28 @@ def _spot(p, rows, method):
     at = p * (rows - 1)
     low = math.floor(at)
     return low, min(low + 1, rows - 1), at - low
+
+
+def grouped_quantiles(
+    df: DataFrame, column: str, probabilities: list[float], by: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """(``by``, ``values``): exact interpolated quantiles of every group, however many there are.
+
+    Short groups are one distributed aggregation. Long ones, at most one for every ``group_rows``
+    rows, are narrowed by range, ``GROUPS_AT_A_TIME`` together. Pass a stored table.
+    """
+    spark = df.sparkSession
+    kind = df.schema[by].dataType.simpleString()
+    long = series_of(df, [column], by, above=group_rows)
+    rows = []
+    for at in range(0, len(long), GROUPS_AT_A_TIME):
+        found = _quantiles_of(df, long[at : at + GROUPS_AT_A_TIME], probabilities, "linear", by)
+        rows += [(group, values) for (group, _), values in found.items() if values[0] is not None]
+    done = spark.createDataFrame(rows, f"{by} {kind}, values array<double>")
+    short = df.filter(F.col(by).isNotNull())
+    if long:
+        names = spark.createDataFrame([(s.group,) for s in long], f"{by} {kind}")
+        short = short.join(names, by, "left_anti")
+    at = [F.lit(p) for p in probabilities]
+    quick = short.groupBy(by).agg(F.percentile(_value(column), F.array(*at)).alias("values"))
+    return quick.filter(F.col("values").isNotNull()).unionByName(done)

@@ -11,10 +11,6 @@ from sparkvigil.session import stage
 
 # Rows one task may receive for a single key before that key is split.
 MAX_GROUP_ROWS = 2_000_000
-# Very large inputs get longer partitions instead of more of them.
-MAX_PARTITIONS = 100_000
-# A key counts as hot above total/MAX_HOT_GROUPS rows, so at most this many keys can be hot.
-MAX_HOT_GROUPS = 100_000
 # Largest dimension that is broadcast; rows and bytes are counted before the hint is given.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -46,7 +42,7 @@ def sized(df: DataFrame, keys: list[str], total: int) -> DataFrame:
     the session's partition count is only kept where it is enough.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-total // max(MAX_GROUP_ROWS, total // MAX_PARTITIONS))
+    needed = -(-total // MAX_GROUP_ROWS)
     return df.repartition(needed, *keys) if keys and needed > configured else df
 
 
@@ -58,11 +54,11 @@ def hot_groups(
 ) -> DataFrame | None:
     """Keys with more rows than one task should take, with ``_parts``, the pieces to cut them in.
 
-    A plain row count rules hot keys out for small inputs. The counts per key are combined map-side,
-    and the result has at most ``MAX_HOT_GROUPS`` rows whatever the data, so it may be broadcast.
+    A plain row count rules hot keys out for small inputs. The counts per key are combined map-side.
+    The result has at most one row for every ``max_group_rows`` rows of ``df``.
     """
     total = df.count() if total is None else total
-    limit = max(max_group_rows, total // MAX_HOT_GROUPS)
+    limit = max_group_rows
     if total <= limit:
         return None
     counts = (
@@ -75,15 +71,20 @@ def hot_groups(
     return None if hot.isEmpty() else hot
 
 
-def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(
+    df: DataFrame, keys: list[str], hot: DataFrame, stored: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys).
 
     The hot rows carry ``_parts`` and ``_tag``, a row number that differs even between exact copies.
-    It is written out once, so a re-run task sees the same value again.
+    They are written out once, so a re-run task sees the same value again; with ``stored=False`` the
+    caller does that before the rows are read a second time.
     """
-    cold = null_safe_join(df, hot, keys, "left_anti", small=True)
-    rows = null_safe_join(df, hot.drop("_rows"), keys, small=True)
-    return cold, stage(rows.withColumn(TAG, F.monotonically_increasing_id()), "hot_rows")
+    small = is_small(hot)
+    cold = null_safe_join(df, hot, keys, "left_anti", small=small)
+    rows = null_safe_join(df, hot.drop("_rows"), keys, small=small)
+    tagged = rows.withColumn(TAG, F.monotonically_increasing_id())
+    return cold, stage(tagged, "hot_rows") if stored else tagged
 
 
 def skew_join(
@@ -100,6 +101,8 @@ def skew_join(
     small ``right`` is broadcast. Otherwise a hot key is cut in ``_parts`` pieces by ``_tag``, and the
     few matching rows of ``right`` are repeated per piece.
     """
+    if how == "inner":  # null keys match nothing: they must not count as a hot key
+        left = left.filter(reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True)))
     total = left.count()
     hot = hot_groups(left, keys, max_group_rows, total)
     if hot is not None and is_small(right, broadcast_rows):
@@ -110,7 +113,7 @@ def skew_join(
         return joined
     salted = rows.withColumn("_salt", F.pmod(F.col(TAG), F.col("_parts")))
     copies = (
-        right.join(F.broadcast(hot.select(*keys, "_parts")), keys, "inner")
+        right.join(_hinted(hot.select(*keys, "_parts"), hot), keys, "inner")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
         .drop("_parts")
     )
@@ -118,6 +121,11 @@ def skew_join(
     return joined.unionByName(pieces)
 
 
+def _hinted(df: DataFrame, measured: DataFrame) -> DataFrame:
+    """A broadcast hint if the stored table ``measured`` is small enough for it."""
+    return F.broadcast(df) if is_small(measured) else df
+
+
 def _sized_join(left, right, keys, how, total):
     """Spark picks broadcast or sort-merge; the shuffle is only sized by hand for a big right side."""
     wide = sized(left, keys, total)
@@ -127,8 +135,15 @@ def _sized_join(left, right, keys, how, total):
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table may be broadcast, by its counted rows and bytes."""
-    text = [F.octet_length(name) for name, kind in df.dtypes if kind == "string"]
+    """Whether a table may be broadcast, by its counted rows and bytes.
+
+    Arrays, maps and other nested values count with the length of their JSON form.
+    """
+    text = [
+        F.octet_length(name) if kind in ("string", "binary") else F.length(F.to_json(F.struct(name)))
+        for name, kind in df.dtypes
+        if kind in ("string", "binary") or kind.startswith(("array", "map", "struct"))
+    ]
     per_row = reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), text, F.lit(16 * len(df.columns)))
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES

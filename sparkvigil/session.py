@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_passing = threading.local()
 
 
 def build_session(app_name: str = "sparkvigil", **conf: str) -> SparkSession:
@@ -45,7 +49,26 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own for one intermediate table, below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/sparkvigil-{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/sparkvigil-{app}/{name}-{uuid.uuid4().hex[:12]}"
+    if getattr(_passing, "paths", None) is not None:
+        _passing.paths.append(path)
+    return path
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside, by this thread, are removed at the end.
+
+    Results must have been written by then: tables are read lazily.
+    """
+    before, _passing.paths = getattr(_passing, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _passing.paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _passing.paths = before
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -54,21 +54,19 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events folder as a file stream."""
-    return (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("pathGlobFilter", "events*.parquet")
-        .parquet(sf_dir)
-    )
+def event_stream(spark: SparkSession, folder: str, files: int = 1) -> DataFrame:
+    """A folder of event files as a stream of at most ``files`` files at a time."""
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in good standing: the inner join then drops the others' transactions."""
     table = spark.read.schema(CUSTOMER_TABLE_SCHEMA).parquet(f"{sf_dir}/customer.parquet")
-    return table.filter(F.col("c_acctbal") >= 0).select(
-        F.col("c_custkey").alias("customer_id"), "c_acctbal", "c_mktsegment"
-    )
+    return table.select(F.col("c_custkey").alias("customer_id"), "c_acctbal", "c_mktsegment")
+
+
+def good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in good standing: an inner join with them drops the others' transactions."""
+    return customers(spark, sf_dir).filter(F.col("c_acctbal") >= 0)
 
 
 def batch_text(tx: DataFrame) -> DataFrame:

@@ -18,19 +18,49 @@ from sparkvigil.sources.schemas import (
 )
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, found by its header name; no pass over the data to guess types."""
-    return spark.read.option("header", True).option("multiLine", False).csv(path)
+# Holds the text of a line that is not a whole record.
+CORRUPT = "_corrupt_record"
+# What a training row cannot be used without.
+TRAINING_REQUIRED = ("transaction_timestamp", "amount", "is_fraud")
 
 
-def typed(df: DataFrame, schema: T.StructType, formats: tuple[str, ...] = ()) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Every column as text by its header name, and ``_corrupt_record``; no types are guessed.
+
+    All files must have the same header: one with other or differently ordered columns is an error.
+    Quotes inside a quoted field are doubled. A line with too few or too many fields fills
+    ``_corrupt_record``. Line breaks inside quotes need ``multiline``, which keeps Spark from
+    splitting a file between tasks; without it, such lines are too short and count as corrupt.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    return (
+        reader.schema(schema)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path)
+    )
+
+
+def _malformed(df: DataFrame) -> Column:
+    """The reject reason of a line that is not a whole record."""
+    if CORRUPT not in df.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col(CORRUPT).isNotNull(), "malformed_line")
+
+
+def typed(
+    df: DataFrame, schema: T.StructType, formats: tuple[str, ...] = (), required: tuple[str, ...] = ()
+) -> DataFrame:
     """Columns of ``schema`` by name with ``reject_reason``, null for a row that parses.
 
-    A field that holds text but cannot be read as its type names the row's reason, the first such
+    A line that is not a whole record is one reason; otherwise a field that holds text but cannot be
+    read as its type, or a ``required`` one without a value, names the row's reason, the first such
     field in schema order.
     """
     require_columns(df, schema.names)
-    values, reasons = [], []
+    values, reasons = [], [_malformed(df)]
     for f in schema.fields:
         raw = F.col(f.name)
         if isinstance(f.dataType, T.TimestampNTZType):
@@ -41,6 +71,8 @@ def typed(df: DataFrame, schema: T.StructType, formats: tuple[str, ...] = ()) ->
             value = raw.try_cast(f.dataType)
         values.append(value.alias(f.name))
         reasons.append(F.when(raw.isNotNull() & value.isNull(), f"bad_{f.name}"))
+        if f.name in required:
+            reasons.append(F.when(raw.isNull(), f"missing_{f.name}"))
     return df.select(*values, F.coalesce(*reasons).alias("reject_reason"))
 
 
@@ -50,14 +82,17 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, df.filter(F.col("reject_reason").isNotNull())
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
+def read_customers(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """The customer key; a key that is not a number cannot match and is dropped."""
-    return split_rejects(typed(read_csv_text(spark, path), CUSTOMER_SCHEMA))[0]
+    return split_rejects(typed(read_csv_text(spark, path, multiline), CUSTOMER_SCHEMA))[0]
 
 
-def read_transactions(spark: SparkSession, path: str, formats: tuple[str, ...] = ()) -> DataFrame:
+def read_transactions(
+    spark: SparkSession, path: str, formats: tuple[str, ...] = (), multiline: bool = False
+) -> DataFrame:
     """Labelled transactions with ``reject_reason``; see ``split_rejects``."""
-    return typed(read_csv_text(spark, path), TRANSACTION_SCHEMA, formats)
+    text = read_csv_text(spark, path, multiline)
+    return typed(text, TRANSACTION_SCHEMA, formats, TRAINING_REQUIRED)
 
 
 def parse_batch(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
@@ -70,11 +105,12 @@ def parse_batch(raw: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     require_columns(raw, BATCH_REQUIRED)
     timestamp = parsed_timestamp("transaction_timestamp", formats)
     amount = F.col("amount").try_cast("double")
-    reason = (
-        F.when(timestamp.isNull(), "bad_transaction_timestamp")
-        .when(amount.isNull() | F.isnan(amount), "bad_amount")
-        .alias("reject_reason")
-    )
+    reason = F.coalesce(
+        _malformed(raw),
+        F.when(timestamp.isNull(), "bad_transaction_timestamp").when(
+            amount.isNull() | F.isnan(amount), "bad_amount"
+        ),
+    ).alias("reject_reason")
     return raw.select(
         _optional(raw, "customer_id", F.lit(NO_CUSTOMER)),
         _optional(raw, "transaction_id", F.monotonically_increasing_id()),
@@ -89,8 +125,11 @@ def _optional(df: DataFrame, name: str, default: Column) -> Column:
     return (F.col(name) if name in df.columns else default).cast("string").alias(name)
 
 
-def read_batch(spark: SparkSession, path: str, formats: tuple[str, ...] = ()) -> DataFrame:
-    return parse_batch(read_csv_text(spark, path), formats)
+def read_batch(
+    spark: SparkSession, path: str, formats: tuple[str, ...] = (), multiline: bool = True
+) -> DataFrame:
+    """An uploaded batch; uploads are small files, which are read whole."""
+    return parse_batch(read_csv_text(spark, path, multiline), formats)
 
 
 def batch_template(spark: SparkSession) -> DataFrame:
@@ -114,7 +153,7 @@ def batch_template(spark: SparkSession) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; one file per partition, so nothing passes through one task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_processed(df: DataFrame, path: str) -> None:

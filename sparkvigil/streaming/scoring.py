@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkvigil.session import passing_scratch
+
 
 def score_stream(
     stream: DataFrame,
@@ -18,18 +20,28 @@ def score_stream(
     """Start scoring a stream into Parquet below ``sink``.
 
     ``score`` is the batch function: each micro-batch goes through the same plan as a stored table,
-    hot-key checks included. A micro-batch owns one folder and overwrites it when it is run again
-    after a failure, so each row ends up in the sink once. No state is kept, so late rows need no rule.
+    hot-key checks included. A micro-batch owns one folder, named by the stream and its number, and
+    overwrites it when it is run again after a failure, so each row ends up in the sink once. The
+    stream's name is the id that its checkpoint keeps: a new checkpoint starts new folders and leaves
+    what other streams have written. Intermediate tables of a micro-batch go when it is written.
+    ``maxFilesPerTrigger`` of the source bounds a micro-batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        query_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        with passing_scratch(spark):
+            score(batch).write.mode("overwrite").parquet(f"{sink}/query_id={query_id}/batch_id={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def read_scored(spark: SparkSession, sink: str, like: DataFrame) -> DataFrame:
-    """What has been scored so far."""
-    schema = like.schema.add("batch_id", "long")
-    return spark.read.schema(schema).option("basePath", sink).parquet(sink).drop("batch_id")
+    """What has been scored so far: the folders of finished micro-batches, maybe none."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/query_id=*/batch_id=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    done = [status.getPath().getParent().toString() for status in found]
+    if not done:
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(*done)

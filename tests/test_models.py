@@ -7,14 +7,20 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sparkvigil.checks.queries import BALANCE_ROWS, QUICK_PARAMS
-from sparkvigil.operators import evaluation, features, models, sampling, scoring, training
+from sparkvigil.checks.queries import BALANCE_ROWS
+from sparkvigil.operators import artifacts, evaluation, features, models, sampling, scoring, training
 from sparkvigil.session import scratch_path, stage
 from sparkvigil.sources import retail, tables
 from sparkvigil.sources.schemas import FEATURES
 from sparkvigil.streaming.scoring import read_scored, score_stream
 
 SF_DIR = "/root/testdata/sf0.001"
+# Short fits: these tests check the plan around the models; the registered queries use the full ones.
+QUICK_PARAMS = {
+    models.RANDOM_FOREST: {"numTrees": 10, "maxDepth": 4, "minInstancesPerNode": 10, "seed": 42},
+    models.GRADIENT_BOOSTED: {"maxIter": 3, "maxDepth": 3, "stepSize": 0.05, "seed": 42},
+    models.LOGISTIC: {"maxIter": 20, "regParam": 0.01, "elasticNetParam": 0.5},
+}
 
 
 @pytest.fixture(scope="module")
@@ -84,19 +90,20 @@ def test_saved_artifacts_score_the_same(spark, run, feats):
     categories = models.merchant_categories(retail.transactions(spark, SF_DIR))
     for _ in range(2):  # the second save replaces the first
         training.save_run(run, root, categories)
-    loaded = models.load_artifacts(spark, root)
-    assert set(loaded["models"]) == set(run.scorer.models)
-    assert loaded["info"]["best_model_name"] in loaded["models"]
-    assert type(loaded["best_model"]) is type(run.scorer.models[loaded["info"]["best_model_name"]])
-    assert loaded["config"]["feature_columns"] == FEATURES
-    assert loaded["state"].lower_bound == run.scorer.state.lower_bound
-    assert loaded["assembler"].getInputCols() == FEATURES
-    assert loaded["categories"].count() == 5
-    again = replace(run.scorer, models=loaded["models"], scaler=loaded["scaler"], state=loaded["state"])
-    keep = ["transaction_id"]
-    one = scoring.score_all_models(scoring.with_scores(feats, run.scorer), keep)
-    two = scoring.score_all_models(scoring.with_scores(feats, again), keep)
+    loaded = artifacts.load_artifacts(spark, root)
+    info = artifacts.model_info(spark, root).first()
+    assert set(loaded.models) == set(run.scorer.models)
+    assert type(artifacts.best_model(spark, root)) is type(run.scorer.models[info["best_model_name"]])
+    assert loaded.state.lower_bound == run.scorer.state.lower_bound
+    assert artifacts.saved_categories(spark, root).count() == 5
+    assert (loaded.convention, loaded.apply_cap) == (run.scorer.convention, run.scorer.apply_cap)
+    # Raw rows: what they need of the customers' history must have been saved too.
+    batch, _ = tables.split_rejects(tables.parse_batch(retail.batch_text(retail.transactions(spark, SF_DIR))))
+    keep = ["transaction_id", *FEATURES]
+    one = scoring.score_all_models(scoring.score(batch, run.scorer), keep)
+    two = scoring.score_all_models(scoring.score(batch, loaded), keep)
     assert one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    assert one.filter("customer_transaction_count <> 10").count() > 0
 
 
 def test_importances(spark, run):
@@ -108,15 +115,14 @@ def test_importances(spark, run):
 
 
 def test_importances_with_other_features_get_numbered_names(spark):
-    class Stub:
-        class featureImportances:
-            @staticmethod
-            def toArray():
-                import numpy as np
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
 
-                return np.array([0.4, 0.6])
-
-    rows = models.feature_importance(spark, {"stub": Stub()}).collect()
+    rows = [(float(i % 2), Vectors.dense([0.0, float(i % 2)])) for i in range(20)]
+    model = RandomForestClassifier(numTrees=1, featureSubsetStrategy="all", bootstrap=False).fit(
+        spark.createDataFrame(rows, ["label", "features"])
+    )
+    rows = models.feature_importance(spark, {"small": model}).collect()
     assert [(r.importance_rank, r.feature) for r in rows] == [(1, "feature_1"), (2, "feature_0")]
 
 
@@ -172,9 +178,7 @@ def test_serving_uses_known_history(spark, run):
 def test_every_batch_row_is_scored_or_rejected(spark, run):
     parsed = tables.parse_batch(retail.batch_text(retail.transactions(spark, SF_DIR)))
     good, rejects = tables.split_rejects(parsed)
-    result = scoring.score_batch(
-        good.withColumn("customer_id", F.col("customer_id").cast("long")), run.scorer, models.LOGISTIC
-    )
+    result = scoring.score_batch(good, run.scorer, models.LOGISTIC)
     assert result.count() + rejects.count() == parsed.count()
     assert result.filter("confidence < 0 or confidence > 1 or confidence is null").count() == 0
 
@@ -251,6 +255,49 @@ def test_stream_equals_batch_in_several_micro_batches(spark, run):
     assert got.exceptAll(want).count() == 0
 
 
+def test_a_new_checkpoint_keeps_what_was_scored(spark, run):
+    tx = retail.transactions(spark, SF_DIR).drop("is_fraud")
+    score = lambda df: scoring.score_batch(df, run.scorer, models.LOGISTIC)
+    sink, source = scratch_path(spark, "sink"), scratch_path(spark, "arrivals")
+    assert read_scored(spark, sink, score(tx)).count() == 0
+    for n, name in ((20, "first"), (3, "second")):
+        tx.limit(n).repartition(2).write.parquet(f"{source}/{name}")
+        stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/{name}")
+        score_stream(stream, score, sink, scratch_path(spark, "checkpoint")).awaitTermination()
+    assert read_scored(spark, sink, score(tx)).count() == 23
+
+
+def test_any_customer_id_is_scored(spark, run):
+    rows = [(None, "1", "Travel"), ("C-17", "2", "TRAVEL"), ("N/A", "3", "travel"), ("999999999999999999999", "4", None)]
+    batch = spark.createDataFrame(
+        [(*r, "2024-02-15 14:30:00", 50.0) for r in rows],
+        "customer_id string, transaction_id string, merchant_category string, transaction_timestamp string, amount double",
+    )
+    found = scoring.with_serving_features(batch, run.scorer).orderBy("transaction_id").collect()
+    assert {r.customer_transaction_count for r in found} == {10}
+    assert len({r.merchant_fraud_rate for r in found[:3]}) == 1
+    assert scoring.score_batch(batch, run.scorer, models.LOGISTIC).count() == 4
+
+
+def test_mixed_case_categories_share_statistics(spark, make_tx):
+    tx = make_tx([(1, i, i, 5.0, name, i % 2) for i, name in enumerate(["Gaming", "gaming", "GAMING", "Travel"])])
+    stats = features.merchant_stats(tx)
+    assert {r.merchant_category for r in stats.collect()} == {"gaming", "travel"}
+    rates = features.with_merchant_stats(tx, stats).filter("lower(merchant_category) = 'gaming'")
+    assert rates.select("merchant_fraud_rate").distinct().count() == 1
+
+
+def test_incomplete_rows_do_not_end_a_run(spark):
+    tx = retail.transactions(spark, SF_DIR).withColumns(
+        {
+            "amount": F.when(F.col("transaction_id") == 5, F.lit(None)).when(F.col("transaction_id") == 6, float("nan")).otherwise(F.col("amount")),
+            "transaction_timestamp": F.when(F.col("transaction_id") != 7, F.col("transaction_timestamp")),
+        }
+    )
+    found = training.train_run(tx, params={models.LOGISTIC: {"maxIter": 3}}, target_rows=200)
+    assert training.run_summary(found).first().incomplete_rows == 3
+
+
 def test_split_keeps_test_rows_out_of_the_fit(spark):
     tx = retail.transactions(spark, SF_DIR)
     train, test = sampling.split(tx)

@@ -15,7 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 QUERIES = entry_point.queries()
 ORACLES = entry_point.oracle_sql()

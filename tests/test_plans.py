@@ -63,6 +63,19 @@ def test_quantiles_with_infinities(spark, monkeypatch):
     assert got[(None, "v")] == [-inf, 1.0, 2.0, 1.7976931348623157e308, inf]
 
 
+def test_neighbouring_values_end(spark):
+    data = [0.0, 5e-324] * 5000
+    got = quantiles.exact_quantiles(values_frame(spark, data), ["v"], [0.25, 0.75])
+    assert got[(None, "v")] == [0.0, 5e-324]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 50])
+def test_quantiles_of_many_groups(spark, limit):
+    df = spark.range(6000).selectExpr("cast(id % 40 as int) AS g", "cast(id AS double) AS v")
+    rows = quantiles.grouped_quantiles(df, "v", [0.0, 0.5, 1.0], "g", limit).collect()
+    assert {r.g: list(r["values"]) for r in rows} == {g: [g, g + 2980.0, g + 5960.0] for g in range(40)}
+
+
 def test_quantiles_of_nothing(spark):
     df = values_frame(spark, [None, None])
     assert quantiles.exact_quantiles(df, ["v"], [0.5])[(None, "v")] == [None]
@@ -129,8 +142,14 @@ def test_balance_sizes(labelled, method):
 
 
 def test_balance_leaves_large_enough_classes_alone(labelled):
-    out = sampling.balance(labelled, target=50, method="hash").filter("target = 1")
-    assert out.count() == 100
+    kept = sampling.balance(labelled, target=50, method="hash", cap_fraud=False).filter("target = 1")
+    assert kept.count() == 100
+
+
+@pytest.mark.parametrize("method", ["hash", "native"])
+def test_fraud_rows_above_the_target_are_sampled_too(labelled, method):
+    out = sampling.balance(labelled, target=50, method=method).filter("target = 1")
+    assert 20 <= out.count() <= 80 and out.distinct().count() == out.count()
 
 
 def test_hash_balance_does_not_depend_on_partitioning(labelled):

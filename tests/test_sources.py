@@ -118,3 +118,34 @@ def test_staged_table_keeps_rows_and_schema(spark):
 
 def test_scenarios(spark):
     assert tables.scenarios_df(spark).count() == 4
+
+
+def text_files(spark, files):
+    root = scratch_path(spark, "lines")
+    for i, lines in enumerate(files):
+        spark.createDataFrame([(line,) for line in lines], "v string").coalesce(1).write.text(f"{root}/part={i}")
+    return f"{root}/part=*"
+
+
+def test_headers_must_agree(spark):
+    path = text_files(spark, [["amount,merchant_category", "1,a"], ["merchant_category,amount", "b,2"]])
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv_text(spark, path).collect()
+
+
+def test_quotes_line_breaks_and_ragged_lines(spark):
+    head = "transaction_timestamp,amount,merchant_category"
+    lines = [head, '2024-01-01 00:00:00,1,"home ""and"" garden"', '2024-01-01 00:00:00,2,"a', 'b"', "2024-01-01 00:00:00,3", "2024-01-01 00:00:00,4,c,d"]
+    rows = tables.read_batch(spark, text_files(spark, [lines])).orderBy("amount").collect()
+    assert [(r.amount, r.merchant_category, r.reject_reason) for r in rows] == [
+        (1.0, 'home "and" garden', None), (2.0, "a\nb", None),
+        (3.0, None, "malformed_line"), (4.0, "c", "malformed_line"),
+    ]
+
+
+def test_training_rows_need_their_values(spark):
+    head = "customer_id,transaction_id,transaction_timestamp,amount,merchant_category,is_fraud"
+    rows = tables.read_transactions(spark, text_files(spark, [[head, "1,1,,5,a,0", "1,2,2024-01-01 00:00:00,5,a,", "1,3,2024-01-01 00:00:00,5,a,1"]]))
+    assert {r.transaction_id: r.reject_reason for r in rows.collect()} == {
+        1: "missing_transaction_timestamp", 2: "missing_is_fraud", 3: None,
+    }
