@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkvigil.llm import ann, html_text, langid, licenses, mixing, packing, secrets, simhash, topk, warc
+from sparkvigil.llm.oracle import ORACLES
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -89,4 +90,5 @@ QUERIES = {
     f.__name__: f
     for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op7_licenses, op8_html, op9_ann, op10_topk)
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES", "VOCABULARY"]
