@@ -227,13 +227,13 @@ def score(
     return with_scores(with_serving_features(batch, scorer, max_group_rows), scorer, keep_stages)
 
 
-def score_batch(batch: DataFrame, scorer: Scorer, model: str) -> DataFrame:
+def score_batch(batch: DataFrame, scorer: Scorer, model: str, stored: bool = False) -> DataFrame:
     """Parsed batch rows to report rows with one model; the plan does not depend on the row count.
 
     The parsed rows are written once: looking up history reads them more than once, and parsing text
-    again would cost more than that.
+    again would cost more than that. A ``stored`` table is read where it is.
     """
-    batch = stage(batch, "batch")
+    batch = batch if stored else stage(batch, "batch")
     lowered = batch.withColumn("merchant_category", F.lower("merchant_category"))
     only = replace(scorer, models={model: scorer.models[model]})
     return batch_result(one_model(score(lowered, only)), "amount_original")

@@ -94,6 +94,7 @@ def skew_join(
     how: str = "inner",
     max_group_rows: int = MAX_GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """Inner or left equi-join on ``keys`` where a hot key of ``left`` goes to several tasks.
 
@@ -103,7 +104,7 @@ def skew_join(
     """
     if how == "inner":  # null keys match nothing: they must not count as a hot key
         left = left.filter(reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True)))
-    total = left.count()
+    total = left.count() if total is None else total
     hot = hot_groups(left, keys, max_group_rows, total)
     if hot is not None and is_small(right, broadcast_rows):
         return left.join(F.broadcast(right), keys, how)
@@ -180,7 +181,8 @@ def snapshot_join(
     scanned: what remains has at most one row per new row, so it is broadcast back and nothing is
     shuffled. More rows than that are joined with hot keys split.
     """
-    if df.count() > max_rows:
-        return skew_join(df, snapshot, keys, "left", max_group_rows)
+    total = df.count()
+    if total > max_rows:
+        return skew_join(df, snapshot, keys, "left", max_group_rows, total=total)
     wanted = F.broadcast(df.select(*keys).distinct())
     return df.join(F.broadcast(snapshot.join(wanted, keys, "left_semi")), keys, "left")
