@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkvigil.llm.columns import fresh, text_slices
+
 SAMPLE_ROWS = 2400
 WINDOW_WORDS = 40
 BUCKETS = 1 << 15
@@ -37,7 +39,7 @@ RATE = 0.2
 RIDGE = 1e-4
 UNKNOWN = "und"
 # Words that go through forward-backward together.
-GROUP_WORDS = 1 << 20
+GROUP_WORDS = 1 << 19
 
 RESULT = "struct<lang_pred:string,score:double>"
 
@@ -291,10 +293,9 @@ def with_language(docs: DataFrame, model: LanguageModel | None, name: str) -> Da
     @F.arrow_udf(RESULT)
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            if model is None:
-                langs, score = [UNKNOWN] * len(batch), np.zeros(len(batch))
-            else:
-                langs, score = predict(model, batch)
+            parts = [predict(model, part) for part in text_slices(batch)] if model is not None else []
+            langs = [lang for part, _ in parts for lang in part] or [UNKNOWN] * len(batch)
+            score = np.concatenate([s for _, s in parts]) if parts else np.zeros(len(batch))
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"]
             )
@@ -321,6 +322,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those that have no language, or none with a mean posterior of ``least``."""
-    columns = docs.columns
-    found = with_language(docs.select(F.struct(*columns).alias("row"), "text"), train(docs), "found")
-    return found.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")
+    [name] = fresh(docs, "language")
+    found = with_language(docs, train(docs), name)
+    return found.filter((F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["score"] >= least)).drop(name)

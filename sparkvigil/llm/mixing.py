@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkvigil.llm.columns import fresh
 from sparkvigil.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -218,18 +219,17 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     Rows are matched to the plan by doc_id and a hash of all columns. ``n_chars``, where there is
     one, is counted anew.
     """
-    columns = docs.columns
-    tagged = docs.select(F.struct(*columns).alias("row"), "doc_id", "source", "text").withColumn(
-        "tag", F.xxhash64("row")
-    )
-    narrow = stage(tagged.select("doc_id", "source", "tag", word_count().alias("size")), "sizes")
+    tag, own_id, own_tag, takes, part = fresh(docs, "tag", "own_id", "own_tag", "takes", "part")
+    row_hash = F.xxhash64(*docs.columns)
+    narrow = stage(docs.select("doc_id", "source", row_hash.alias("tag"), word_count().alias("size")), "sizes")
     plan = mix(narrow, **options).filter("taken > 0")
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "copies", "parts")
+    plan = plan.select(F.col("doc_id").alias(own_id), F.col("tag").alias(own_tag), "copies", "parts")
     # Copies of one row may be taken differently: one of them stands for all their takes.
-    counted = plan.groupBy("_id", "_tag").agg(F.collect_list(F.struct("copies", "parts")).alias("takes"))
+    counted = plan.groupBy(own_id, own_tag).agg(F.collect_list(F.struct("copies", "parts")).alias(takes))
     repeated = narrow.groupBy("doc_id", "tag").count().filter("count > 1")
-    once = tagged if repeated.isEmpty() else tagged.dropDuplicates(["doc_id", "tag"])
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag"))
+    tagged = docs.withColumn(tag, row_hash)
+    once = tagged if repeated.isEmpty() else tagged.dropDuplicates(["doc_id", tag])
+    match = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(tag) == F.col(own_tag))
     kept = once.join(counted, match)
 
     @F.arrow_udf("array<string>")
@@ -240,12 +240,11 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
                 pa.list_(pa.string()),
             )
 
-    out = kept.select("row", F.explode(cut("text", "takes")).alias("_text"))
-    fields = [F.col("_text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns]
-    mixed = out.select(*fields)
-    if "n_chars" not in columns:
-        return mixed
-    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    mixed = kept.withColumn(part, F.explode(cut("text", takes)))
+    fields = {"text": F.col(part)}
+    if "n_chars" in docs.columns:
+        fields["n_chars"] = F.length(part).cast(docs.schema["n_chars"].dataType)
+    return mixed.select(*[fields[c].alias(c) if c in fields else F.col(f"`{c}`") for c in docs.columns])
 
 
 def taken_texts(text: str, takes: list[dict]) -> list[str]:

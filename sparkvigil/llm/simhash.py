@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkvigil.llm.columns import fresh
 from sparkvigil.llm.components import connected_components
 from sparkvigil.session import stage
 
@@ -260,9 +261,10 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one row.
     """
-    columns = docs.columns
-    tagged = docs.select(F.struct(*columns).alias("row"), "doc_id", F.xxhash64(*columns).alias("tag"), "text")
-    prints = with_fingerprints(tagged.select("doc_id", "tag", "text"), "fp").select("doc_id", "tag", "fp")
+    tag, keep_id, keep_tag = fresh(docs, "tag", "keep_id", "keep_tag")
+    row_hash = F.xxhash64(*docs.columns)
+    narrow = docs.select("doc_id", row_hash.alias("tag"), "text")
+    prints = with_fingerprints(narrow, "fp").select("doc_id", "tag", "fp")
     prints = stage(prints, "prints")
     found = with_components(prints, max_bits)
     first = Window.partitionBy("component_id", "doc_id").orderBy("tag", "fp")
@@ -270,10 +272,10 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .withColumn("nth", F.row_number().over(first))
         .filter("nth = 1")
-        .select(F.col("doc_id").alias("keep_id"), F.col("tag").alias("keep_tag"))
+        .select(F.col("doc_id").alias(keep_id), F.col("tag").alias(keep_tag))
     )
-    match = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("tag") == F.col("keep_tag"))
-    kept = tagged.join(chosen, match, "left_semi").select("row.*")
+    match = F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(tag) == F.col(keep_tag))
+    kept = docs.withColumn(tag, row_hash).join(chosen, match, "left_semi").drop(tag)
     # Only a table with repeated rows pays for the comparison of whole rows.
     repeated = prints.groupBy("doc_id", "tag").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates()
