@@ -320,8 +320,11 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "found.lang_pred", "found.score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` without those that have no language, or none with a mean posterior of ``least``."""
+def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """``docs`` without those that have no language, or none with a mean posterior of ``least``.
+
+    Texts that change between known languages stay: one of them still has about a third.
+    """
     [name] = fresh(docs, "language")
     found = with_language(docs, train(docs), name)
     return found.filter((F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["score"] >= least)).drop(name)
