@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkvigil.llm.columns import text_slices
 from sparkvigil.session import stage
 
 CAPACITY = 1024
@@ -33,8 +34,8 @@ LARGE_SHARE = 0.34
 MAX_GROUPS = 64
 # The linear programme ends when it is this close to its own lower bound.
 GAP = 5e-4
-# Pieces ranked by one task for one length.
-BUCKET_ROWS = 65_536
+# Pieces of one length that are ranked together.
+BUCKET_ROWS = 4096
 
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids:binary>>"
 
@@ -76,9 +77,9 @@ def tokenize(
                 [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]
             )
         )
-        for batch in batches:
+        for texts in (part for batch in batches for part in text_slices(batch)):
             out = []
-            for text in batch.to_pylist():
+            for text in texts.to_pylist():
                 ids = encoder.encode_to_numpy(text or "", allowed_special="all")
                 out.append(cut(np.append(ids, np.uint32(end_id)), capacity))
             yield pa.array(out, kind)
@@ -234,13 +235,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_
     """``pieces`` (doc_id, piece, start, length and any digest columns) with sequence_id and offset.
 
     ``pieces`` must be a stored table of narrow columns: it is read twice. A length that holds most of
-    the rows is ranked in buckets of ``bucket_rows``, whose offsets come from their counts.
+    the rows is ranked in hash buckets of about ``bucket_rows``, whose offsets come from their counts.
     """
     histogram = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
     counts = {int(r["length"]): int(r["count"]) for r in histogram}
     plan = plan_packing(counts, capacity)
-    buckets = -(-sum(counts.values()) // bucket_rows) or 1
-    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    # A length gets buckets by its own count: at most ``capacity`` entries.
+    buckets = ", ".join(f"{n}L, {-(-many // bucket_rows)}L" for n, many in counts.items()) or "0L, 1L"
+    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.expr(f"map({buckets})[length]")))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("_bucket", "length")
