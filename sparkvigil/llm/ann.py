@@ -3,7 +3,8 @@
 A few pivots are drawn from the vectors. Every vector is described by the order of the pivots from
 nearest to farthest, and posted in the inverted files of its ``POSTED`` nearest ones. A query reads
 the files of its own ``READ`` nearest pivots, ranks what it finds by the footrule distance of the
-pivot orders, and reranks the best ``RERANK`` share by exact products. Rows are dealt into blocks of
+pivot orders, and reranks the best ``RERANK`` share by exact products, and whatever is only half as
+far as a random order, so that dense groups are not cut; equal vectors are ranked as one. Rows are dealt into blocks of
 bounded size, each with inverted files of its own; queries are held against all blocks.
 
 Largest products become nearest vectors by one more coordinate, which lifts every vector to the
@@ -28,9 +29,9 @@ from sparkvigil.llm.vectors import best, in_blocks, keep_best, lists, matrix, us
 from sparkvigil.session import stage
 
 PIVOTS = 128
-POSTED = 16
-READ = 12
-RERANK = 0.08
+POSTED = 24
+READ = 24
+RERANK = 0.25
 K = 20
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 8_192
@@ -66,30 +67,58 @@ def search_block(rows: pa.Table, queries: pa.Table, k: int, posted: int, read: i
     if not rows.num_rows or not queries.num_rows:
         return FOUND_TYPE.empty_table()
     ids, own = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-    sort = np.argsort(ids, kind="stable")  # so that ties of the footrule go to smaller ids
-    ids = ids[sort]
-    vectors, seats = matrix(rows["vector"])[sort], matrix(rows["places"], np.int16)[sort]
+    sort = np.argsort(ids, kind="stable")
+    ids, vectors = ids[sort], matrix(rows["vector"])[sort]
+    # Equal vectors are one entry of the index, however many there are: members in order of their ids.
+    whole = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * 8))).ravel()
+    _, first, entry = np.unique(whole, return_index=True, return_inverse=True)
+    members = np.argsort(entry, kind="stable")
+    size = np.bincount(entry)
+    begin = np.cumsum(size) - size
+    vectors, seats = vectors[first], matrix(rows["places"], np.int16)[sort][first]
     asked, asked_seats = matrix(queries["vector"]), matrix(queries["places"], np.int16)
     files = [np.flatnonzero(seats[:, p] < posted) for p in range(seats.shape[1])]
+    heavy = np.flatnonzero(size >= k)  # could fill an answer alone: always reranked, few in any block
+    dense = seats.shape[1] ** 2 / 6  # half of what two random orders are apart
+    wanted = max(8 * k, int(np.ceil(rerank * len(first))))
     out = []
     for i, query_id in enumerate(own):
-        hit = np.zeros(len(ids), dtype=bool)
+        hit = np.zeros(len(first), dtype=bool)
         for pivot in np.flatnonzero(asked_seats[i] < read):
             hit[files[pivot]] = True
-        found = np.flatnonzero(hit & (ids != query_id))
-        others = np.count_nonzero(ids != query_id)
-        if len(found) < min(k, others):  # too few postings to fill the answer: the whole block
-            found = np.flatnonzero(ids != query_id)
+        found = np.flatnonzero(hit)
+        if size[found].sum() <= k:  # too few postings to fill the answer: the whole block
+            found = np.arange(len(first))
         footrule = np.abs(seats[found] - asked_seats[i]).sum(axis=1, dtype=np.int32)
-        wanted = min(len(found), max(8 * k, int(np.ceil(rerank * len(ids)))))
-        near = found[np.argsort(footrule, kind="stable")[:wanted]]
+        ranked = np.lexsort((first[found], footrule))
+        cut = max(wanted, np.count_nonzero(footrule <= dense))
+        near = np.union1d(found[ranked[:cut]], heavy)
         score = products(vectors[near], asked[i])
-        top = near[chosen := keep_best(np.zeros(len(near)), score, ids[near], k)]
-        out.append((np.full(len(top), query_id), ids[top], score[chosen]))
+        # One entry more than asked for, as one may hold the query alone; ties of the last one stay.
+        least = -np.partition(-score, min(k, len(score) - 1))[min(k, len(score) - 1)]
+        near, score = near[score >= least], score[score >= least]
+        count = np.minimum(size[near], k + 1)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        row = members[np.repeat(begin[near], count) + nth]
+        score = np.repeat(score, count)[ids[row] != query_id]
+        row = row[ids[row] != query_id]
+        top = keep_best(np.zeros(len(row)), score, ids[row], k)
+        out.append((np.full(len(top), query_id), ids[row[top]], score[top]))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
     return pa.table([pa.array(c) for c in columns], schema=FOUND_TYPE)
 
 
+def draw(rows: DataFrame, count: int, pivots: int) -> list:
+    """At most ``pivots`` different vectors, by hash; a vector that is repeated is drawn once."""
+    key = F.xxhash64("vector")
+    for share in (16 * pivots / max(1, count), 1.0):
+        near = rows.filter(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).select("vector").distinct()
+        found = near.orderBy(key, "vector").limit(pivots).collect()
+        if len(found) == pivots or share >= 1:
+            break
+    return found
+
+
 def nearest(
     vectors: DataFrame,
     is_query,
@@ -108,7 +137,7 @@ def nearest(
         F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q"), F.sqrt(F.max(square)).alias("longest")
     ).first()
     longest = sums["longest"] or 1.0
-    drawn = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(pivots).collect()
+    drawn = draw(rows, sums["n"], pivots)
     base = lifted(np.array([r["vector"] for r in drawn]), longest) if drawn else np.zeros((0, 0))
 
     def describe(column: str, query: bool):
