@@ -232,6 +232,7 @@ PRIOR = (
     + " ".join(f"WHEN '{m}' THEN {rate}e0" for m, rate in rules.MERCHANT_PRIOR.items())
     + f" ELSE {rules.DEFAULT_MERCHANT_RATE}e0 END"
 )
+# The amount ranges.
 AMOUNT_RANGE = """CASE WHEN amount > 0 AND amount <= 100 THEN '<$100' WHEN amount > 100 AND amount <= 500 THEN '$100-500'
      WHEN amount > 500 AND amount <= 1000 THEN '$500-1000'
      WHEN amount > 1000 AND amount <= 5000 THEN '$1000-5000' WHEN amount > 5000 THEN '>$5000' END"""
@@ -310,6 +311,7 @@ TXN_BIN = "1 + " + " + ".join(
     f"CAST(x > lo + {i} * ((hi - lo) / 10e0) AS INTEGER)" for i in range(1, 10)
 )
 
+# The scenario rows, features in model order.
 SCENARIOS = """VALUES ('Normal Transaction', [50, 14, 3, 0.01, 0.01, 100, 0, 0.005]::DOUBLE[]),
        ('Slightly Suspicious', [500, 22, 6, 0.05, 0.03, 10, 1, 0.02]::DOUBLE[]),
        ('Highly Suspicious', [5000, 3, 7, 0.3, 0.05, 3, 2, 0.04]::DOUBLE[]),
@@ -325,6 +327,7 @@ def scaled_features() -> str:
     return zscore("").rstrip() + f", sc(scenario, v) AS ({SCENARIOS})\n" + " UNION ALL ".join(parts)
 
 
+# Thresholds, texts and levels of the risk factors.
 RISK_FACTORS = """
 SELECT transaction_id, f.factor AS factor, f.level AS level FROM (
   SELECT transaction_id, unnest([
