@@ -62,6 +62,15 @@ def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return total
 
 
+def footrules(seats: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Footrule distance of every row of places to one order; both as floats, which is exact here."""
+    out, ones = np.empty(len(seats), dtype=np.float32), np.ones(seats.shape[1], dtype=np.float32)
+    for at in range(0, len(seats), 2048):
+        apart = np.subtract(seats[at : at + 2048], asked)
+        np.dot(np.abs(apart, out=apart), ones, out=out[at : at + 2048])
+    return out
+
+
 def search_block(rows: pa.Table, queries: pa.Table, k: int, posted: int, read: int, rerank: float) -> pa.Table:
     """The best ``k`` of one block for each query of a chunk."""
     if not rows.num_rows or not queries.num_rows:
@@ -75,8 +84,8 @@ def search_block(rows: pa.Table, queries: pa.Table, k: int, posted: int, read: i
     members = np.argsort(entry, kind="stable")
     size = np.bincount(entry)
     begin = np.cumsum(size) - size
-    vectors, seats = vectors[first], matrix(rows["places"], np.int16)[sort][first]
-    asked, asked_seats = matrix(queries["vector"]), matrix(queries["places"], np.int16)
+    vectors, seats = vectors[first], matrix(rows["places"], np.float32)[sort][first]
+    asked, asked_seats = matrix(queries["vector"]), matrix(queries["places"], np.float32)
     files = [np.flatnonzero(seats[:, p] < posted) for p in range(seats.shape[1])]
     heavy = np.flatnonzero(size >= k)  # could fill an answer alone: always reranked, few in any block
     dense = seats.shape[1] ** 2 / 6  # half of what two random orders are apart
@@ -89,14 +98,16 @@ def search_block(rows: pa.Table, queries: pa.Table, k: int, posted: int, read: i
         found = np.flatnonzero(hit)
         if size[found].sum() <= k:  # too few postings to fill the answer: the whole block
             found = np.arange(len(first))
-        footrule = np.abs(seats[found] - asked_seats[i]).sum(axis=1, dtype=np.int32)
-        ranked = np.lexsort((first[found], footrule))
-        cut = max(wanted, np.count_nonzero(footrule <= dense))
-        near = np.union1d(found[ranked[:cut]], heavy)
+        footrule = footrules(seats[found], asked_seats[i])
+        last = min(wanted, len(found)) - 1
+        near = np.union1d(found[footrule <= max(dense, np.partition(footrule, last)[last])], heavy)
+        # Fast products leave out what cannot be among the best; the others are summed in order. One
+        # entry more than asked for, as one may hold the query alone; ties of the last one stay.
+        rough = vectors[near] @ asked[i]
+        last = min(k, len(rough) - 1)
+        least = -np.partition(-rough, last)[last] - 1e-9 * np.abs(rough).max()
+        near = near[rough >= least]
         score = products(vectors[near], asked[i])
-        # One entry more than asked for, as one may hold the query alone; ties of the last one stay.
-        least = -np.partition(-score, min(k, len(score) - 1))[min(k, len(score) - 1)]
-        near, score = near[score >= least], score[score >= least]
         count = np.minimum(size[near], k + 1)
         nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         row = members[np.repeat(begin[near], count) + nth]
