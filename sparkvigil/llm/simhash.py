@@ -46,19 +46,27 @@ PAIR_STEP = 1 << 18
 BIT_ORDER = np.arange(BITS, dtype=np.uint64)
 
 
-def fingerprint_of(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """The fingerprint of one text: each bit is 1 if set in over half of the shingle hashes."""
+def shingle_hashes(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> list[int]:
+    """Hashes of all runs of ``words`` words; a shorter text is one run."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     first = np.r_[0, ends[:-1] + 1]
     n = max(1, len(parts) - words + 1)
-    hashed = [
+    return [
         xxhash.xxh64_intdigest(joined[a:b], seed)
         for a, b in zip(first[:n].tolist(), ends[-n:].tolist(), strict=True)
     ]
+
+
+def fingerprint_of(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """The fingerprint of one text: each bit is 1 if set in over half of the shingle hashes."""
+    hashed = shingle_hashes(text, words, seed)
+    n = len(hashed)
+    if not n:
+        return 0
     rows = np.array(hashed, dtype="<u8").view(np.uint8).reshape(-1, 8)
     counts = np.zeros(BITS, dtype=np.int64)
     for start in range(0, n, 255):
@@ -256,17 +264,23 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return with_components(stage(prints, "prints"), max_bits).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of every component: its smallest doc_id, then its smallest row hash.
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every group of near copies: its smallest doc_id, then row hash.
 
-    Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one row.
+    Near copies are linked as ``near_copies`` defines it, by the Jaccard similarity of five-word
+    shingles. Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one.
     """
+    from sparkvigil.llm import near_copies
+
     tag, keep_id, keep_tag = fresh(docs, "tag", "keep_id", "keep_tag")
     row_hash = F.xxhash64(*docs.columns)
     narrow = docs.select("doc_id", row_hash.alias("tag"), "text")
-    prints = with_fingerprints(narrow, "fp").select("doc_id", "tag", "fp")
+    prints = near_copies.with_sketches(narrow, "found", near_copies.WORDS).select("doc_id", "tag", "found.*")
     prints = stage(prints, "prints")
-    found = with_components(prints, max_bits)
+    roots = near_copies.near_copy_roots(prints, narrow)
+    found = prints.select("doc_id", "tag", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    found = found.join(least, "root")
     first = Window.partitionBy("component_id", "doc_id").orderBy("tag", "fp")
     chosen = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sparkvigil.llm import components, html_text, langid, licenses, mixing, packing, secrets, simhash, warc
+from sparkvigil.llm import components, html_text, langid, licenses, mixing, near_copies, packing, secrets, simhash, warc
 from sparkvigil.llm.queries import QUERIES, VOCABULARY
 from tests.llm import brute
 
@@ -307,6 +307,41 @@ def test_simhash_edges(edge, empty):
     assert simhash.near_duplicates(empty).collect() == []
 
 
+def shingles(text, n=5):
+    words = brute.WORD.findall(brute.lower(text))
+    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def near_copy_groups(texts, least=0.8):
+    """Smallest place linked to each text by five-word Jaccard similarity."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both, all_ = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if not all_ or both >= least * all_:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("most", [4096, 4])
+def test_near_copies_by_similarity(spark, texts, monkeypatch, most):
+    monkeypatch.setattr(near_copies, "MAX_GROUP", most)
+    rng, rows = random.Random(3), [t for t in texts.values() if t][:40]
+    for size, changed in [(200, 2), (200, 4), (500, 10), (100, 2), (200, 5), (200, 7)]:
+        base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        rows.append(" ".join(base))
+        for _ in range(5):
+            # One change is far from the others, so that each takes five shingles.
+            copy = list(base)
+            for i in range(changed):
+                copy[(2 * i + 1) * size // (2 * changed)] = f"x{rng.random()}"
+            rows.append(" ".join(copy))
+    table = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(rows)], SCHEMA)
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(table).collect())
+    assert kept == sorted(set(near_copy_groups(rows)))
+
+
 def test_components_of_long_paths(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 200), (100, 300), (300, 100)]
     found = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(path, "a bigint, b bigint")).collect()}
