@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkvigil.llm.columns import fresh
@@ -265,7 +265,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of every group of near copies: its smallest doc_id, then row hash.
+    """``docs`` with one row of every group of near copies: its smallest doc_id (null last), then row hash.
 
     Near copies are linked as ``near_copies`` defines it, by the Jaccard similarity of five-word
     shingles. Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one.
@@ -279,14 +279,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     prints = stage(prints, "prints")
     roots = near_copies.near_copy_roots(prints, narrow)
     found = prints.select("doc_id", "tag", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = found.join(least, "root")
-    first = Window.partitionBy("component_id", "doc_id").orderBy("tag", "fp")
+    # Ids that are null come last.
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tag")
     chosen = (
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .withColumn("nth", F.row_number().over(first))
-        .filter("nth = 1")
-        .select(F.col("doc_id").alias(keep_id), F.col("tag").alias(keep_tag))
+        found.groupBy("root")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.doc_id").alias(keep_id), F.col("first.tag").alias(keep_tag))
     )
     match = F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(tag) == F.col(keep_tag))
     kept = docs.withColumn(tag, row_hash).join(chosen, match, "left_semi").drop(tag)

@@ -342,6 +342,14 @@ def test_near_copies_by_similarity(spark, texts, monkeypatch, most):
     assert kept == sorted(set(near_copy_groups(rows)))
 
 
+def test_different_texts_of_one_id_stay(spark):
+    rows = [(None, "one two three four five six"), (None, "seven eight nine ten"), (7, "red green blue"), (7, "sun and moon")]
+    rows += [(None, "SUN and moon"), (8, "sun and MOON"), (None, "alone"), (None, "alone")]
+    table = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA)
+    kept = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(table).collect())
+    assert kept == Counter([*rows[:4], (None, "alone")])
+
+
 def test_components_of_long_paths(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 200), (100, 300), (300, 100)]
     found = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(path, "a bigint, b bigint")).collect()}
