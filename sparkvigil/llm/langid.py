@@ -260,8 +260,9 @@ def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, window: int =
     clean = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " "))
     words = F.filter(F.split(clean, " "), lambda w: w != "")
     begin = F.lit(1) + F.pmod("key", F.greatest(F.lit(1), F.size("words") - window + 1)).cast("int")
-    sampled = picked.withColumn("words", words).select(F.slice("words", begin, window).alias("words"), "lang", "key")
-    nth = sampled.orderBy(F.col("key") / F.lit(1.0), "lang").limit(rows)
+    sampled = picked.withColumn("words", words).select(F.slice("words", begin, window).alias("words"), "lang", "key", "rate")
+    # Within its label a row's key over the rate is its place, whatever the label's size.
+    nth = sampled.orderBy(F.col("key") / F.col("rate"), "lang").limit(rows)
     return [(r["words"], r["lang"]) for r in nth.collect()]
 
 

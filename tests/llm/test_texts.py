@@ -190,6 +190,16 @@ def test_forward_backward_by_enumeration():
     assert np.allclose(pair, expected_pair)
 
 
+def test_sample_is_even_on_skewed_languages(spark):
+    sizes = {"en": 40_000, "de": 20_000, "fr": 4_000, "sv": 300, "fi": 20}
+    table = spark.createDataFrame(
+        [(i, "some words", lang) for i, lang in enumerate(lang for lang, n in sizes.items() for _ in range(n))],
+        "doc_id bigint, text string, lang string",
+    )
+    found = Counter(lang for _, lang in langid.training_sample(table, rows=500))
+    assert found["fi"] == 20 and all(70 <= found[lang] <= 140 for lang in ("en", "de", "fr", "sv"))
+
+
 def test_language_filter_keeps_clean_documents(docs, edge):
     kept = langid.keep_identified(docs)
     assert kept.columns == docs.columns
