@@ -3,7 +3,8 @@
 One Aho-Corasick pass over the lower-cased text finds where keywords start; each kind's expression is
 then matched exactly there, never searched for. Runs of hexadecimal digits have no keyword: every
 eighth character is looked at, and only where three of these in a row are digits can a run of 24 be,
-so the expression is only tried there. Kinds with a checksum inside are kept only if it holds.
+so the expression is only tried there. Kinds with a checksum inside are kept only if it holds. A private key runs from its
+BEGIN line through the END line, or through the base64 that follows where the END line is missing.
 
 Defined results: a null text is an empty one and has no spans; overlapping kinds are all reported;
 matches of one kind never overlap; repeated rows are scanned each; an empty table gives an empty
@@ -39,7 +40,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 HEX_SAMPLE = re.compile(r"[0-9a-f]{3,}")
 CODE_TOKEN = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 WEB_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]{16,}")
-PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----")
+# What may stand between the pieces of a key: white space, as such or escaped, and signs of quoting.
+KEY_GAP = r"""(?:[\s"'`,;+>#|*]|\\+[nrt]|<br\ ?/?>)"""
+# From the BEGIN line through headers and body to the END line; without one, through whole pieces of
+# base64 and a last short one that ends its line.
+PRIVATE_KEY = re.compile(
+    rf"""-----BEGIN\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
+    (?:{KEY_GAP}*+(?:Proc-Type|DEK-Info|Comment):(?:(?!\\+[nr]|-----)[^\n\r])*+)*+
+    (?:(?:{KEY_GAP}|[A-Za-z0-9/=])*+-----END\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
+    |(?:{KEY_GAP}*+[A-Za-z0-9+/=]{{16,}}+)*+(?:{KEY_GAP}*[A-Za-z0-9+/]+=*(?=[\x20\t"'`,;]*+(?:[\r\n]|\\+[nr]|\Z))|))""",
+    re.VERBOSE,
+)
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 

@@ -237,6 +237,28 @@ def test_checksums_decide():
     assert secrets.scan(f"eyJxxxx.eyJzdWIi.{'a' * 20}") == []
 
 
+KEY_BODY = ["MIIEvQ+/" * 8, "aB3/" * 16, "Zz9+" * 16, "q7Q="]
+
+
+@pytest.mark.parametrize("kind", ["", "RSA ", "ENCRYPTED ", "OPENSSH "])
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\\n", "\n    ", " ", '\\n" +\n  "', "\n\n> "])
+@pytest.mark.parametrize("head", ["", "Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,0123ABCD{0}{0}"])
+def test_no_part_of_a_private_key_is_left(kind, gap, head):
+    lines = [f"-----BEGIN {kind}PRIVATE KEY-----", head.format(gap) + KEY_BODY[0], *KEY_BODY[1:]]
+    end = f"-----END {kind}PRIVATE KEY-----"
+    for body in (lines, [*lines[:2], *KEY_BODY * 500]):
+        assert secrets.masked(f"before {gap.join([*body, end])}\nAfter it, more.") == f"before {secrets.MASK}\nAfter it, more."
+    # Without the END line, and cut inside a line.
+    assert secrets.masked(f"before {gap.join(lines)}\n\nAfter it, more.") == f"before {secrets.MASK}\n\nAfter it, more."
+    assert secrets.masked(f"before {gap.join(lines)[:-60]}") == f"before {secrets.MASK}"
+
+
+def test_words_after_a_key_line_stay():
+    begin = "-----BEGIN PRIVATE KEY-----"
+    assert secrets.masked(f"{begin} is how it begins; more.") == f"{secrets.MASK} is how it begins; more."
+    assert secrets.masked(f"{begin}\nIt is (so far) prose.\n-----END") == f"{secrets.MASK}\nIt is (so far) prose.\n-----END"
+
+
 def test_secret_query(spark, texts):
     for r in QUERIES["op4_secrets"](spark, FOLDER).collect():
         spans = brute.secrets(texts[r["doc_id"]])
