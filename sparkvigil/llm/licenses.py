@@ -1,8 +1,9 @@
 """License scans by a positional index of rare words, in DataFrame functions only.
 
 The templates below are indexed by word: every word posts the templates and places where it stands.
-Of the licence words that a document holds, the ``TOP`` with the highest inverse document frequency
-(counted over all documents) are looked up. A word at place p of the document that stands at place t
+For every template of which the document holds all words of a key phrase, the ``TOP`` words that it
+holds of the template and of each such phrase with the highest inverse document frequency (counted
+over all documents) are looked up. A word at place p of the document that stands at place t
 of a template votes for that template beginning at p - t; a template is a candidate where enough of
 its looked-up words agree on one beginning, and it is reported where, besides, one of its mandatory
 key phrases stands in the document word for word.
@@ -61,7 +62,8 @@ TEMPLATES = {
         ("mozilla public license v 2 0",),
     ),
 }
-# Licence words of a document that are looked up, and votes that make a candidate.
+# Words that are looked up for each template and for each key phrase (none has more words), and votes
+# that make a candidate.
 TOP = 8
 VOTES = 2
 
@@ -216,18 +218,22 @@ def verified(words: Column, found: Column, number: int, text: str, phrases: tupl
     return F.filter(found, lambda c: (c["t"] == number) & holds(c))
 
 
-def finding(words: Column, base: Column, votes: Column) -> Column:
+def finding(words: Column, base: Column, votes: Column, rare: Column, weights: dict[str, float]) -> Column:
     """Labels and score from the places and votes of one document."""
-    total = F.aggregate(
-        F.array_distinct(F.transform(votes, lambda v: v["v"])), F.lit(0.0), lambda a, v: a + v
-    )
+
+    def total(text: str) -> Column:
+        """The looked-up weight of one template."""
+        own = sorted(set(text.split()))
+        shares = [F.when(F.array_contains(rare, w), F.lit(weights[w])).otherwise(F.lit(0.0)) for w in own]
+        return F.aggregate(F.array(*shares), F.lit(0.0), lambda a, v: a + v)
+
+    def share_of(label: str, text: str):
+        most = F.greatest(total(text), F.lit(1e-9))
+        return lambda c: F.struct(F.lit(label).alias("label"), (c["v"] / most).alias("v"))
 
     def judge(found: Column) -> Column:
         sure = [
-            F.transform(
-                verified(words, found, number, text, phrases),
-                lambda c: F.struct(F.lit(label).alias("label"), c["v"].alias("v")),
-            )
+            F.transform(verified(words, found, number, text, phrases), share_of(label, text))
             for number, (label, (text, phrases)) in enumerate(TEMPLATES.items())
         ]
         return F.concat(*sure)
@@ -238,7 +244,7 @@ def finding(words: Column, base: Column, votes: Column) -> Column:
             F.size(words).cast("long").alias("words"),
             base.alias("base"),
             F.array_sort(F.array_distinct(F.transform(sure, lambda c: c["label"]))).alias("templates"),
-            F.least(F.lit(1.0), F.coalesce(best / F.greatest(total, F.lit(1e-9)), F.lit(0.0))).alias("score"),
+            F.least(F.lit(1.0), F.coalesce(best, F.lit(0.0))).alias("score"),
         )
 
     return bind(bind(candidates_of(votes), judge), result)
@@ -248,18 +254,34 @@ def with_licenses(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """``docs`` with a struct of its findings in the new column ``name``.
 
     words: their number; base: (label, begin) of all base places; templates: labels that were
-    verified; score: the largest share of the looked-up weight that agreed on a verified candidate.
+    verified; score: the largest share of a template's looked-up weight that agreed on one of its
+    verified candidates.
     """
     weights = inverse_frequencies(docs, text)
-    # Highest weight first; a document's own are those of this list that it holds.
-    by_weight = words_literal(sorted(postings(), key=lambda w: (-weights[w], w)))
     base = words_literal(sorted({rarest(p, weights) for p in BASE_PHRASES}))
     needed = {rarest(p, weights) for _, phrases in TEMPLATES.values() for p in [*phrases, *BASE_PHRASES]}
     anchors = words_literal(sorted(needed))
 
+    licence_words = words_literal(sorted(postings()))
+
+    def by_weight(phrase: str) -> list[str]:
+        return sorted(set(phrase.split()), key=lambda w: (-weights[w], w))
+
+    def looked_up(held: Column, text: str, phrases: tuple[str, ...]) -> Column:
+        nothing = F.expr("cast(array() as array<string>)")
+        of_phrases = [words_literal(by_weight(p)[:TOP]) for p in phrases]
+        stand = [F.size(F.array_except(words_literal(by_weight(p)), held)) == 0 for p in phrases]
+        parts = [F.when(can, of).otherwise(nothing) for can, of in zip(stand, of_phrases, strict=True)]
+        parts.append(F.slice(F.array_intersect(words_literal(by_weight(text)), held), 1, TOP))
+        can_stand = stand[0]
+        for other in stand[1:]:
+            can_stand = can_stand | other
+        return F.when(can_stand, F.concat(*parts)).otherwise(nothing)
+
     def look_up(words: Column) -> Column:
         # Without the rarest word of any phrase nothing can be verified: the words are not walked through.
-        rare = F.slice(F.array_intersect(by_weight, words), 1, TOP)
+        held = F.array_intersect(licence_words, words)
+        rare = bind(held, lambda h: F.array_distinct(F.concat(*[looked_up(h, *t) for t in TEMPLATES.values()])))
         walked = bind(rare, lambda r: bind(F.array_union(r, base), lambda wanted: locate(words, r, wanted)))
         nothing = F.struct(
             F.size(words).cast("long").alias("words"),
@@ -274,7 +296,7 @@ def with_licenses(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
             places(words, wanted),
             lambda at: bind(
                 votes_of(at, rare, weights),
-                lambda votes: finding(words, base_places(words, at, weights), votes),
+                lambda votes: finding(words, base_places(words, at, weights), votes, rare, weights),
             ),
         )
 

@@ -498,6 +498,21 @@ def test_license_edges(spark, tmp_path):
     assert licenses.scan_licenses(table.limit(0)).collect() == []
 
 
+def test_every_notice_of_a_document_is_found(spark):
+    notices = {label: text for label, (text, _) in licenses.TEMPLATES.items()}
+    ordinary = "you may copy the source code and these files with the following program and software in any other "
+    texts = [" and ".join(notices.values()), " ".join(notices[k] for k in ("mit", "apache-2.0", "gpl-3.0", "bsd"))]
+    texts += [ordinary + phrase + " " + ordinary for _, phrases in licenses.TEMPLATES.values() for phrase in phrases]
+    filler = [f"nothing of that kind {i}" for i in range(40)] + ["apache license version 2 0"] * 40
+    table = spark.createDataFrame(list(enumerate(texts + filler)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(table).collect()}
+    assert found[0]["templates"] == sorted(notices)
+    assert found[1]["templates"] == ["apache-2.0", "bsd", "gpl-3.0", "mit"]
+    expected = [label for label, (_, phrases) in licenses.TEMPLATES.items() for _ in phrases]
+    assert [found[i + 2]["templates"] for i in range(len(expected))] == [[label] for label in expected]
+    assert all(0 < found[i]["score"] <= 1 for i in range(len(texts)))
+
+
 # WARC
 
 PAGES = [
