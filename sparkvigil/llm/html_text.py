@@ -6,8 +6,9 @@ heading). A decision tree fitted by Spark on the small labelled table below says
 kept; its splits are read once and applied where the pages are.
 
 Defined results: a null or empty page has the empty text; a page without blocks that are kept too;
-an unclosed script or style runs to the end of the page, other unclosed tags end with what encloses
-them; repeated rows give equal results; an empty table gives an empty result; the columns of the
+an unclosed script, style, title or textarea runs to the end of the page, an unclosed link or element
+without page text to the next begin or end of a block, other unclosed tags end with what encloses
+them; formulas and the text of objects are page text; repeated rows give equal results; an empty table gives an empty result; the columns of the
 input are kept by ``with_main_text``, whose new column is named by the caller.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,10 +33,10 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
-# Fixed values of HTML: elements whose content is not page text, and elements that end a block.
-RAW = frozenset(
-    "script style title textarea noscript iframe noembed noframes template svg math select button object".split()
-)
+# Fixed values of HTML: elements whose content is not page text (of RAW also no tags), and elements
+# that end a block.
+RAW = frozenset("script style title textarea".split())
+SKIPPED = frozenset("noscript iframe noembed noframes template svg select button".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption"
     " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section"
@@ -141,12 +143,71 @@ def marks(attributes: str) -> set[str]:
     return found & MARKS
 
 
+Token = tuple[int, int, str, str, str]  # begin, end, "/" of an end tag, tag, attributes
+
+
+def tokens_of(page: str) -> list[Token]:
+    """The tags of a page; that of a RAW element has its content and end with it."""
+    found, at = [], 0
+    while match := TOKEN.search(page, at):
+        at = match.end()
+        close, tag, attributes = match[1], match[2], match[3]
+        if tag is None:
+            close, tag, attributes = match[4], match[5], match[6]
+        tag = (tag or "").lower()
+        if tag in RAW and not close and not attributes.endswith("/"):
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
+            at = end.end() if end else len(page)
+        found.append((match.start(), at, close or "", tag, attributes or ""))
+    return found
+
+
+def ends_of(tokens: list[Token]) -> dict[int, int]:
+    """Begin and end tag, by number, of links and SKIPPED elements that end inside what encloses them."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    held: Counter[str] = Counter()
+
+    def leave(tag: str) -> int:
+        while True:
+            last, number = stack.pop()
+            held[last] -= 1
+            if last == tag:
+                return number
+
+    for i, (_, _, close, tag, attributes) in enumerate(tokens):
+        inline = tag == "a" or tag in SKIPPED
+        if not inline and tag not in BLOCK:
+            continue
+        if close:
+            if held[tag]:
+                number = leave(tag)
+                if inline:
+                    ends[number] = i
+            continue
+        if tag in SKIPPED and attributes.endswith("/") or tag == "hr":
+            continue
+        if tag == "a" and held["a"]:
+            # A link ends where the next one begins.
+            stack.pop(max(k for k, entry in enumerate(stack) if entry[0] == "a"))
+            held["a"] -= 1
+        elif not inline and stack and (stack[-1][0] == "p" or tag == "li" and stack[-1][0] == "li"):
+            held[stack.pop()[0]] -= 1
+        stack.append((tag, i))
+        held[tag] += 1
+    return ends
+
+
 def blocks_of(page: str) -> list[Block]:
     """The flat blocks of a page, in page order, without empty ones."""
     # Open containers: (tag, furniture, inside an article, part of a discussion, heading).
     stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     done: list[Block] = []
+    tokens = tokens_of(page)
+    ends = ends_of(tokens)
     block, linking, at = Block(), False, 0
+    # Whether the link or the element without page text that is open ends at the next block.
+    loose, dropping = False, False
 
     def cut() -> None:
         nonlocal block
@@ -156,28 +217,28 @@ def blocks_of(page: str) -> list[Block]:
         block = Block(furniture=furniture, inside=inside, heading=heading)
 
     def say(text: str) -> None:
+        if dropping:
+            return
         block.text.append(text)
         if linking:
             block.linked.append(text)
 
-    while match := TOKEN.search(page, at):
-        if match.start() > at:
-            say(page[at : match.start()])
-        at = match.end()
-        close, tag, attributes = match[1], match[2], match[3]
-        if tag is None:
-            close, tag, attributes = match[4], match[5], match[6]
-        if tag is None:
+    for i, (begin, end, close, tag, attributes) in enumerate(tokens):
+        if begin < at:
             continue
-        tag = tag.lower()
+        if begin > at:
+            say(page[at:begin])
+        at = end
+        if tag in BLOCK:
+            linking, loose, dropping = linking and not loose, False, False
         if tag == "a":
-            linking = not close
+            linking, loose = not close, not close and i not in ends
         elif tag == "br":
             say(" ")
-        elif tag in RAW:
+        elif tag in SKIPPED:
             if not close and not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                dropping = dropping or i not in ends
+                at = tokens[ends[i]][1] if i in ends else end
         elif tag in BLOCK and close:
             if any(entry[0] == tag for entry in stack):
                 while stack.pop()[0] != tag:

@@ -620,6 +620,25 @@ def test_html_edges(spark, tree):
     assert html_text.extract_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "odd", ["<button>Share", "<select><option>One", "<object data=x>", "<a name=top>", "<svg><path d=x>", "<iframe src=x>", "<noscript>", "<template>"]
+)
+@pytest.mark.parametrize("later", ["", "<p><button>Go</button> <select><option>1</select> <a href=y>more</a></p>"])
+def test_unclosed_elements_end_at_the_next_block(tree, odd, later):
+    long = "A sentence of the article with enough words in it to be kept as text. " * 3
+    parts = [f"{n} {long}".strip() for n in ("First", "Second", "Third")]
+    page = f"<body><article><p>{parts[0]}</p>{odd}<p>{parts[1]}</p><p>{parts[2]}</p>{later}</article></body>"
+    text = html_text.main_text(page, tree)
+    assert all(" ".join(part.split()) in text for part in parts)
+    assert "Share" not in text.split() and "One" not in text.split()
+
+
+def test_formulas_and_objects_are_text_and_closed_buttons_are_not(tree):
+    page = f"<article><p>{'Words of it. ' * 20}<math><mi>x</mi><mo>=</mo><mn>42</mn></math> <object>fallback</object>"
+    text = html_text.main_text(f"{page}<button><div>Press</div></button> and the end.</p></article>", tree)
+    assert "x=42 fallback" in text and "Press" not in text and text.endswith("and the end.")
+
+
 def test_html_query(spark):
     rows = QUERIES["op8_html"](spark, FOLDER).collect()
     assert len(rows) == spark.read.parquet(f"{FOLDER}/pages.parquet").count()
