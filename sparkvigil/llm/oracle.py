@@ -77,4 +77,25 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
        vec_id, score
 FROM s QUALIFY rank <= 5"""
 
-ORACLES: dict[str, str] = {"op3_warc": WARC, "op6_mix": MIX, "op10_topk": TOP}
+LEAKS = r"""
+WITH d AS (SELECT row_number() OVER () AS nth, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     b AS (SELECT item_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     windows AS (
+       SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS pattern
+       FROM (SELECT *, least(10, len(w)) AS m FROM b WHERE len(w) > 0), LATERAL (SELECT unnest(range(1, len(w) - m + 2)) AS i)),
+     places AS (
+       SELECT nth, i, m, array_to_string(w[i:i + m - 1], ' ') AS pattern
+       FROM d, (SELECT DISTINCT m FROM windows), LATERAL (SELECT unnest(range(1, len(w) - m + 2)) AS i)),
+     hits AS (SELECT nth, i, p.m AS m, item_id FROM places p JOIN windows USING (pattern)),
+     words AS (SELECT nth, count(DISTINCT i + k) AS n FROM hits, LATERAL (SELECT unnest(range(0, m)) AS k) GROUP BY nth),
+     items AS (SELECT nth, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+               FROM (SELECT DISTINCT nth, item_id FROM hits) GROUP BY nth)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (nth) LEFT JOIN items USING (nth)"""
+
+ORACLES: dict[str, str] = {"op3_warc": WARC, "op6_mix": MIX, "op10_topk": TOP, "op11_decontaminate": LEAKS}

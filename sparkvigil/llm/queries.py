@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkvigil.llm import ann, html_text, langid, licenses, mixing, packing, secrets, simhash, topk, warc
+from sparkvigil.llm import ann, html_text, langid, licenses, mixing, overlap, packing, secrets, simhash, topk, warc
 from sparkvigil.llm.oracle import ORACLES
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -86,9 +86,24 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = overlap.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        hit.alias("n_hit"),
+        (F.size("items") + F.col("no_id").cast("int")).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op7_licenses, op8_html, op9_ann, op10_topk)
+    for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op7_licenses, op8_html, op9_ann, op10_topk,
+              op11_decontaminate)
 }
 
 __all__ = ["ORACLES", "QUERIES", "VOCABULARY"]
