@@ -98,4 +98,84 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
        sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
 FROM d LEFT JOIN words USING (nth) LEFT JOIN items USING (nth)"""
 
-ORACLES: dict[str, str] = {"op3_warc": WARC, "op6_mix": MIX, "op10_topk": TOP, "op11_decontaminate": LEAKS}
+# CRC-32 of the decimal form of a number, bit by bit.
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(8 * len({0}::VARCHAR)),
+        lambda i: CASE WHEN i % 8 = 0 THEN ascii(({0}::VARCHAR)[i // 8 + 1])::BIGINT ELSE 0 END)),
+        lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+TRIE = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL),
+     u AS (SELECT conv_id, turn, role, sha256(strlen(role) || ':' || role || text) AS unit,
+                  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM t),
+     own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, unit[:32], words) AS nth FROM u),
+     ids AS (SELECT conv_id, conv_id - conv_id % 20 AS head, {CRC.format("conv_id")} % 4 AS h
+             FROM (SELECT DISTINCT conv_id FROM t)),
+     turns AS (
+       SELECT i.conv_id, 0 AS part, nth, unit, words FROM ids i JOIN own o ON o.conv_id = i.head AND nth <= h
+       UNION ALL
+       SELECT i.conv_id, 1 AS part, nth, unit, words FROM ids i JOIN own o ON o.conv_id = i.conv_id AND nth > h),
+     paths AS (SELECT i.conv_id, coalesce(list(unit ORDER BY part, nth) FILTER (unit IS NOT NULL), []) AS path,
+                      coalesce(list(words ORDER BY part, nth) FILTER (unit IS NOT NULL), []) AS words
+               FROM ids i LEFT JOIN turns t ON t.conv_id = i.conv_id GROUP BY i.conv_id),
+     nodes AS (
+       SELECT d, array_to_string(path[1:d], ',') AS prefix, any_value(path[1:d]) AS path, min(conv_id) AS conv_id, count(*) AS n,
+              any_value(CASE WHEN d > 0 THEN words[d] ELSE 0 END) AS words,
+              coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = d), '') AS ends
+       FROM paths, LATERAL (SELECT unnest(range(0, len(path) + 1)) AS d) GROUP BY d, prefix),
+     kids AS (SELECT array_to_string(path[1:d - 1], ',') AS prefix, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+     whole AS (SELECT n.*, coalesce(k.n, 0) AS children FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix AND k.d = n.d),
+     sums AS (SELECT array_to_string(path[1:a], ',') AS prefix, a AS d, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves,
+                     sum((n - 1) * words) AS saved
+              FROM whole, LATERAL (SELECT unnest(range(0, d + 1)) AS a) GROUP BY ALL)
+SELECT w.conv_id, w.d::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n::BIGINT AS n_convs, w.children::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN sums s ON s.prefix = w.prefix AND s.d = w.d
+LEFT JOIN whole p ON p.d = w.d - 1 AND p.prefix = array_to_string(w.path[1:w.d - 1], ',')"""
+
+# Levels of all language trees, then of the tree of their roots; a fold is one step a level.
+MERKLE = rf"""
+WITH RECURSIVE d AS (
+       SELECT row_number() OVER () AS nth, doc_id, lang,
+              concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                     coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+              text, CASE WHEN {CRC.format("doc_id")} % 3 = 0
+                         THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+       FROM documents),
+     hashed AS (SELECT nth, doc_id, coalesce('=' || lang, '-') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                       sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS offered FROM d),
+     leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                       count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+     low AS (
+       SELECT tree, 0 AS level, pos, leaf AS h, n FROM leaves
+       UNION ALL
+       SELECT tree, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM low WHERE n > 1
+       GROUP BY tree, level, pos // 8, n),
+     subroots AS (SELECT tree, level AS height, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+                  FROM low WHERE n = 1),
+     high AS (
+       SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+       UNION ALL
+       SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM high WHERE n > 1
+       GROUP BY level, pos // 8, n),
+     low_run AS (SELECT tree, level, pos, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                        coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+                 FROM low WINDOW w AS (PARTITION BY tree, level, pos // 8 ORDER BY pos)),
+     high_run AS (SELECT level, pos, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+                  FROM high WINDOW w AS (PARTITION BY level, pos // 8 ORDER BY pos)),
+     up AS (
+       SELECT nth, tree, 0 AS level, pos, offered AS h, '' AS proof FROM leaves
+       UNION ALL
+       SELECT nth, u.tree, u.level + 1, u.pos // 8, sha256(l || h || r), proof || l || r
+       FROM up u JOIN low_run s ON s.tree = u.tree AND s.level = u.level AND s.pos = u.pos WHERE n > 1),
+     on_top AS (
+       SELECT nth, 0 AS level, s.pos, h, proof FROM up u JOIN subroots s ON s.tree = u.tree AND s.height = u.level
+       UNION ALL
+       SELECT nth, u.level + 1, u.pos // 8, sha256(l || h || r), proof || l || r
+       FROM on_top u JOIN high_run s ON s.level = u.level AND s.pos = u.pos WHERE n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, o.h AS folded_root, o.h = root AS verified
+FROM leaves x JOIN subroots s ON s.tree = x.tree JOIN (SELECT level, h AS root FROM high WHERE n = 1) top ON true
+JOIN on_top o ON o.nth = x.nth AND o.level = top.level"""
+
+ORACLES: dict[str, str] = {"op3_warc": WARC, "op6_mix": MIX, "op10_topk": TOP, "op11_decontaminate": LEAKS, "op12_trie": TRIE, "op13_merkle": MERKLE}

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkvigil.llm import ann, html_text, langid, licenses, mixing, overlap, packing, secrets, simhash, topk, warc
+from sparkvigil.llm import ann, html_text, langid, licenses, merkle, mixing, overlap, packing, secrets, simhash, topk, trie, warc
 from sparkvigil.llm.oracle import ORACLES
+from sparkvigil.session import stage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -100,10 +101,32 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt_conversations(conversations: DataFrame) -> DataFrame:
+    """conv_id and path: the first turns are those of the conversation at the head of its twenty."""
+    own = stage(trie.turn_units(conversations), "conversations")
+    heads = own.filter(F.col("conv_id") % 20 == 0).select(
+        F.col("conv_id").alias("head"), F.slice("units", 1, 3).alias("opening")
+    )
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    joined = own.select("*", (F.col("conv_id") - F.col("conv_id") % 20).alias("head"), taken.alias("h")).join(heads, "head", "left")
+    opening = F.slice(F.coalesce("opening", F.array().cast("array<string>")), F.lit(1), F.col("h"))
+    units = F.concat(opening, F.slice("units", F.col("h") + 1, F.size("units")))
+    return joined.select("conv_id", F.unhex(F.array_join(units, "")).alias("path"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt_conversations(read(spark, sf_dir, "conversations")))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = merkle.build_manifest(read(spark, sf_dir, "documents"), merkle.tampered_third()).audit()
+    return audit.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_pack, op2_language, op3_warc, op4_secrets, op5_simhash, op6_mix, op7_licenses, op8_html, op9_ann, op10_topk,
-              op11_decontaminate)
+              op11_decontaminate, op12_trie, op13_merkle)
 }
 
 __all__ = ["ORACLES", "QUERIES", "VOCABULARY"]
