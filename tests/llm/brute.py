@@ -47,6 +47,27 @@ def components(fingerprints, ids, bits=4):
     return [group[find(i)] for i in range(len(ids))]
 
 
+def near_copies(rows, words=5, least=0.8):
+    """{id: smallest id of its group} by exact Jaccard similarity of the shingle sets of all pairs."""
+    sets = {}
+    for i, text in rows:
+        own = WORD.findall(lower(text))
+        sets[i] = frozenset(" ".join(own[j : j + words]) for j in range(max(1, len(own) - words + 1))) if own else frozenset()
+    group = {i: i for i in sets}
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and (a == b or len(a & b) >= least * len(a | b) > 0):
+                one, two = find(i), find(j)
+                group[max(one, two)] = min(one, two)
+    return {i: find(i) for i in sets}
+
+
 def secrets(text):
     """Spans of the base kinds."""
     text = text or ""
