@@ -87,8 +87,8 @@ def score_batch(spark, d):
 
 
 def serving_features(spark, d):
-    """History and category statistics of batch rows, looked up or default."""
-    rows = scoring.with_serving_features(good_batch(spark, d), training_run(spark, d).scorer)
+    """History and category statistics of batch rows, looked up or default, each row as the next one."""
+    rows = scoring.with_serving_features(good_batch(spark, d), training_run(spark, d).scorer, advance=False)
     rounded = [F.round(c, 6).alias(c) for c in ("merchant_fraud_rate", "merchant_fraud_volatility")]
     return rows.select(
         "transaction_id",

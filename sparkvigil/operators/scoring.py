@@ -17,6 +17,7 @@ from sparkvigil.operators.features import (
     with_time_features,
 )
 from sparkvigil.operators.models import assemble
+from sparkvigil.plans.ordered import running_totals
 from sparkvigil.plans.skew import MAX_GROUP_ROWS, snapshot_join
 from sparkvigil.session import stage
 from sparkvigil.sources.schemas import BATCH_RESULT_COLUMNS, FEATURES
@@ -43,22 +44,39 @@ def with_merchant_prior(df: DataFrame) -> DataFrame:
     return df.withColumn("merchant_prior_rate", rules.merchant_prior(F.col("merchant_category")))
 
 
+def with_place(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """``_nth``: the row's number among the rows of its key by time and id, from 1; 1 without a key.
+
+    Keys of very many rows are cut into blocks, as in every running total.
+    """
+    order = [F.col(c) for c in ("transaction_datetime", "transaction_id") if c in df.columns]
+    one = F.lit(1).cast("long")
+    placed = running_totals(
+        df.filter(F.col(key).isNotNull()), [key], order, {"_nth": one}, max_group_rows=max_group_rows
+    )
+    return placed.unionByName(df.filter(F.col(key).isNull()).withColumn("_nth", one))
+
+
 def with_serving_features(
-    df: DataFrame, scorer: Scorer, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, scorer: Scorer, max_group_rows: int = MAX_GROUP_ROWS, advance: bool = True
 ) -> DataFrame:
     """The eight features of unlabelled transactions.
 
     A feature the rows already carry wins. Otherwise history comes from the customer snapshot and
     category statistics from the fitted table; without history there, the fixed defaults apply. The
-    transaction itself counts as one more row of its customer, as it does in training. An id that is
-    not of the snapshot's type (text, missing) has no history there; categories match in any case.
+    n-th transaction of a customer in the batch, by time, counts as the n-th row after the snapshot,
+    as it does in training; ``advance=False`` counts each as the next one. An id that is not of the
+    snapshot's type (text, missing) has no history there; categories match in any case.
     """
     if not {"hour", "day_of_week"} <= set(df.columns):
         df = with_time_features(df, convention=scorer.convention)
     df = df.withColumnsRenamed({c: f"_given_{c}" for c in LOOKED_UP if c in df.columns})
+    place = F.lit(1)
     if scorer.profile is not None and "customer_id" in df.columns:
         kind = scorer.profile.schema["customer_id"].dataType
         keyed = df.withColumn("_customer", F.col("customer_id").try_cast(kind))
+        if advance:
+            keyed, place = with_place(keyed, "_customer", max_group_rows), F.col("_nth")
         profile = scorer.profile.withColumnRenamed("customer_id", "_customer")
         df = snapshot_join(keyed, profile, ["_customer"], max_group_rows).drop("_customer")
     df = join_merchant_stats(df, scorer.state.merchant_stats, stored=True)
@@ -72,7 +90,7 @@ def with_serving_features(
     values = {
         "customer_fraud_rate": (None, F.lit(rules.DEFAULT_CUSTOMER_RATE)),
         "customer_transaction_count": (
-            F.col("customer_transaction_count") + 1,
+            F.col("customer_transaction_count") + place,
             F.lit(rules.DEFAULT_CUSTOMER_COUNT),
         ),
         "customer_fraud_count": (None, F.lit(rules.DEFAULT_CUSTOMER_FRAUDS)),
@@ -80,7 +98,7 @@ def with_serving_features(
         "merchant_fraud_volatility": (None, F.lit(rules.DEFAULT_VOLATILITY)),
     }
     df = df.withColumns({name: looked_up(name, *choice) for name, choice in values.items()})
-    df = df.drop(*[f"_given_{c}" for c in LOOKED_UP]).withColumn("amount_original", F.col("amount"))
+    df = df.drop("_nth", *[f"_given_{c}" for c in LOOKED_UP]).withColumn("amount_original", F.col("amount"))
     if scorer.apply_cap:
         low, high = F.lit(scorer.state.lower_bound), F.lit(scorer.state.upper_bound)
         df = df.withColumn("amount", amounts.capped(F.col("amount"), low, high))
@@ -221,10 +239,14 @@ def batch_result(df: DataFrame, amount: str = "amount") -> DataFrame:
 
 
 def score(
-    batch: DataFrame, scorer: Scorer, keep_stages: bool = False, max_group_rows: int = MAX_GROUP_ROWS
+    batch: DataFrame,
+    scorer: Scorer,
+    keep_stages: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    advance: bool = True,
 ) -> DataFrame:
     """Unlabelled transactions with features and ``scores``."""
-    return with_scores(with_serving_features(batch, scorer, max_group_rows), scorer, keep_stages)
+    return with_scores(with_serving_features(batch, scorer, max_group_rows, advance), scorer, keep_stages)
 
 
 def score_batch(batch: DataFrame, scorer: Scorer, model: str, stored: bool = False) -> DataFrame:

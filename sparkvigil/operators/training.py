@@ -116,11 +116,11 @@ def run_summary(run: Run) -> DataFrame:
     )
 
 
-def save_run(run: Run, root: str, categories: DataFrame) -> None:
-    """Persist the artefacts of a run below one root."""
+def save_run(run: Run, root: str, categories: DataFrame) -> int:
+    """Persist the artefacts of a run as the next version below one root."""
     spark = run.metrics.sparkSession
     best = evaluation.best_model(run.metrics)
-    artifacts.save_artifacts(
+    return artifacts.save_artifacts(
         root,
         run.scorer,
         models.preprocessing_state(spark, run.scorer.state, run.fraud_weight),
