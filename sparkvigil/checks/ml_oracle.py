@@ -58,7 +58,6 @@ SCALED = ", ".join(
 
 ML_ORACLES: dict[str, str] = {
     "score_batch": SCORED_BATCH,
-    "score_ml": SCORED_BATCH,
     "serving_features": run(f"""
 SELECT transaction_id, coalesce(n + 1, 10) AS customer_transaction_count,
        coalesce(frauds, 0) AS customer_fraud_count, round(coalesce(rate, 0.02e0), 6) AS customer_fraud_rate,

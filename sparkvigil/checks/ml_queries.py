@@ -17,7 +17,8 @@ from sparkvigil.session import scratch_path, stage
 from sparkvigil.sources import retail, tables
 from sparkvigil.sources.schemas import FEATURES
 
-# Bound on the rows of each class that the registered queries fit their models on.
+# Bound on the rows of each class that the registered queries fit their models on; the published job
+# takes 250,000. What the queries return does not depend on it: sizes follow it, promises hold for any.
 FIT_ROWS = 1_000
 CLOSE = 1e-9
 
@@ -25,7 +26,7 @@ _runs: dict[tuple[str, str], training.Run] = {}
 
 
 def training_run(spark: SparkSession, d: str) -> training.Run:
-    """The published parameters on the whole tables, once per session and folder."""
+    """The published parameters on the whole tables, fitted on ``FIT_ROWS`` rows a class, once per session and folder."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _runs:
         _runs[key] = training.train_run(
@@ -382,4 +383,3 @@ ML_QUERIES = {
         csv_intake,
     ]
 }
-ML_QUERIES["score_ml"] = score_batch

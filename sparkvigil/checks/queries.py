@@ -637,12 +637,6 @@ def scaled_features(spark, d):
     return rounded(out, "scaled_value")
 
 
-
-
-
-
-
-
 # ---- streaming ----------------------------------------------------------------------------------
 
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from sparkvigil.operators.features import CAP_PROBABILITIES, QUARTILES
 
-# Size of a sketch, and the share of rows by which a rank may be off (99 % of the time).
-K = 2048
-RANK_ERROR = 0.0025
+# Size of a sketch, and the share of rows by which a rank is off at most: two and a half times the
+# bound that holds for 99 % of sketches of that size.
+K = 4096
+RANK_ERROR = 0.0033
 
 SKETCH = "sketch"
 

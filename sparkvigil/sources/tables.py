@@ -24,7 +24,7 @@ CORRUPT = "_corrupt_record"
 TRAINING_REQUIRED = ("transaction_timestamp", "amount", "is_fraud")
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """Every column as text by its header name, and ``_corrupt_record``; no types are guessed.
 
     All files must have the same header: one with other or differently ordered columns is an error.
@@ -125,11 +125,39 @@ def _optional(df: DataFrame, name: str, default: Column) -> Column:
     return (F.col(name) if name in df.columns else default).cast("string").alias(name)
 
 
+def files_with_open_quotes(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(files in which every line closes its quotes, the others).
+
+    A field that goes on over a line break leaves its first line with an odd number of quotes, doubled
+    ones counting twice. The lines are read as text, which splits files of any size.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("file")).distinct()
+    open_files = {r["file"] for r in found.collect()}  # a part of the files, which are listed anyway
+    every = sorted(r["file"] for r in lines.select(F.col("_metadata.file_path").alias("file")).distinct().collect())
+    return [f for f in every if f not in open_files], sorted(open_files)
+
+
 def read_batch(
-    spark: SparkSession, path: str, formats: tuple[str, ...] = (), multiline: bool = True
+    spark: SparkSession, path: str, formats: tuple[str, ...] = (), multiline: bool | None = None
 ) -> DataFrame:
-    """An uploaded batch; uploads are small files, which are read whole."""
-    return parse_batch(read_csv_text(spark, path, multiline), formats)
+    """An uploaded batch of any size.
+
+    Only files with line breaks inside quotes are read whole, by one task each; all others are split.
+    The rows are the same as if all files were read whole. ``multiline`` True or False skips the look
+    at the lines.
+    """
+    if multiline is not None:
+        return parse_batch(read_csv_text(spark, path, multiline), formats)
+    closed, opened = files_with_open_quotes(spark, path)
+    if not closed or not opened:
+        return parse_batch(read_csv_text(spark, path, bool(opened)), formats)
+    names = read_csv_text(spark, path).columns  # the same header everywhere, or an error when rows are read
+    parts = [read_csv_text(spark, closed, False), read_csv_text(spark, opened, True)]
+    if any(part.columns != names for part in parts):
+        raise ValueError("the header of the files is not the same")
+    return parse_batch(parts[0].unionByName(parts[1]), formats)
 
 
 def batch_template(spark: SparkSession) -> DataFrame:
