@@ -46,7 +46,7 @@ def quantile_of(sketch: Column, probability: float) -> Column:
 
 def sketched_quantiles(sketches: DataFrame, probabilities: dict[str, float], *keys: str) -> DataFrame:
     """The keys, rows, and one column for every named probability."""
-    merged = merged_sketches(sketches, *keys).filter(F.col(SKETCH).isNotNull())
+    merged = merged_sketches(sketches, *keys).filter(F.col("rows") > 0)
     return merged.select(*keys, "rows", *[quantile_of(F.col(SKETCH), p).alias(n) for n, p in probabilities.items()])
 
 
