@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import json
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -643,3 +646,72 @@ def test_html_query(spark):
     rows = QUERIES["op8_html"](spark, FOLDER).collect()
     assert len(rows) == spark.read.parquet(f"{FOLDER}/pages.parquet").count()
     assert all(r["n_chars"] == len(r["text"]) > 0 and "var t=" not in r["text"] and "©" not in r["text"] for r in rows)
+
+
+PARAGRAPH = "One long paragraph of plain words that goes on so that nobody can take it for a menu, as it ends only here. "
+STORY = f"<h1>Title of it</h1><p>{PARAGRAPH * 2}</p><p>{PARAGRAPH * 3}</p><p>The end.</p>"
+TOLD = "\n\n".join(["Title of it", (PARAGRAPH * 2).strip(), (PARAGRAPH * 3).strip(), "The end."])
+MENU = "<ul><li><a href=/>Home</a></li><li><a href=/a>Shop</a></li><li><a href=/b>About us</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<nav><a href=/>Home</a></nav><article class="post tag-advertising comments-open">{STORY}</article>',
+        f'{MENU}<div class="content no-sidebar">{STORY}</div><footer>me</footer>',
+        f"<div>Menu</div>{MENU}{STORY}<div>Imprint</div>",
+        f'{MENU}<div class="social-content form">{STORY}</div><footer>me</footer>',
+        f'{MENU}<div>{STORY}</div><div id="comments"><h3>Comments</h3><article class="comment"><p>{PARAGRAPH}</p></article>'
+        f"<article><p>{PARAGRAPH * 9}</p></article></div>",
+        f'<div class="cookie-notice"><p>{PARAGRAPH * 2}</p></div>{STORY}',
+        f"<header>{MENU}</header><main>{STORY}</main><aside>{PARAGRAPH}</aside>",
+        f'{MENU}<article>{STORY}</article><aside class="related">{PARAGRAPH}</aside><p>{PARAGRAPH}</p>',
+    ],
+)
+def test_names_do_not_decide_alone(page, tree):
+    assert html_text.main_text(f"<html><body>{page}</body></html>", tree) == TOLD
+
+
+@pytest.mark.parametrize(
+    "unit", ["<a ", "<!x", "<a<a", "<main>", '<a "', "<a '\">", "<a><div>", "<", "&amp", "<li><a>", "<div></p>", "<p "]
+)
+def test_pages_of_odd_tags_take_linear_time(unit, tree):
+    def seconds(size):
+        page = unit * (size // len(unit))
+        begun = time.process_time()
+        html_text.main_text(page, tree)
+        return time.process_time() - begun
+
+    assert seconds(1 << 20) < 8
+
+
+def plain_blocks(page):
+    """Texts of the elements p, h1 and li of a page with closed tags, and of what stands elsewhere, in order."""
+    body = re.sub(r"(?s)<(script|style|title)\b.*?</\1>|<!--.*?-->", "", page)
+    parts = re.split(r"(?i)</?(?:p|h1|ul|li|div|article|nav|footer|body|html|head)\b[^>]*>", body)
+    return [t for t in (" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0] == "<br>" else "", p)).split()) for p in parts) if t]
+
+
+def test_blocks_like_plain_splitting(spark, tree):
+    """Every page of the table: the blocks are those of a plain split, and the kept ones those of the article."""
+    for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
+        blocks = html_text.rows_of(html_text.blocks_of(page["html"]))
+        assert [text for text, _ in blocks] == plain_blocks(page["html"])
+        inside = re.search(r"(?s)<article>(.*?)</article>", page["html"])[1]
+        assert html_text.main_text(page["html"], tree) == "\n\n".join(plain_blocks(inside))
+
+
+@pytest.mark.parametrize("unit", ["eyJaaaa", "eyJ", "eyJa.", "-----BEGIN PRIVATE KEY-----", "token ", "abcdef01", "+", " \n", "abc "])
+def test_secret_scans_take_linear_time(unit):
+    text = "-----BEGIN PRIVATE KEY-----" + unit * ((1 << 20) // len(unit)) + "."
+    begun = time.process_time()
+    secrets.scan(text)
+    assert time.process_time() - begun < 4
+
+
+def test_web_tokens_after_a_failed_start():
+    head = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    token = f"{head}.eyJzdWIi.{'a' * 20}"
+    for before in ("eyJxx ", "eyJxx.", "eyJxx.eyJyy ", "eyJ.", "eyJxx-"):
+        found = [text for text in ([before + token][0][a:b] for k, a, b in secrets.scan(before + token) if k == "web_token")]
+        assert found == ([] if before == "eyJxx-" else [token])
