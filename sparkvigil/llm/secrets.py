@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkvigil.llm.columns import text_slices
+
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 BASE_KINDS = ("assign", "access", "hex")
 MASK = "[secret]"
@@ -39,16 +41,19 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 HEX_SAMPLE = re.compile(r"[0-9a-f]{3,}")
 CODE_TOKEN = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
-WEB_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]{16,}")
+WEB_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]{16,}+")
+WEB_PART = re.compile(r"[A-Za-z0-9_-]+")
 # What may stand between the pieces of a key: white space, as such or escaped, and signs of quoting.
 KEY_GAP = r"""(?:[\s"'`,;+>#|*]|\\+[nrt]|<br\ ?/?>)"""
+# Before the last short piece, which may begin with a plus sign.
+LAST_GAP = KEY_GAP.replace("+>", ">", 1)
 # From the BEGIN line through headers and body to the END line; without one, through whole pieces of
 # base64 and a last short one that ends its line.
 PRIVATE_KEY = re.compile(
     rf"""-----BEGIN\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
     (?:{KEY_GAP}*+(?:Proc-Type|DEK-Info|Comment):(?:(?!\\+[nr]|-----)[^\n\r])*+)*+
     (?:(?:{KEY_GAP}|[A-Za-z0-9/=])*+-----END\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
-    |(?:{KEY_GAP}*+[A-Za-z0-9+/=]{{16,}}+)*+(?:{KEY_GAP}*[A-Za-z0-9+/]+=*(?=[\x20\t"'`,;]*+(?:[\r\n]|\\+[nr]|\Z))|))""",
+    |(?:{KEY_GAP}*+[A-Za-z0-9+/=]{{16,}}+)*+(?:{LAST_GAP}*+[A-Za-z0-9+/]++=*+(?=[\x20\t"'`,;]*+(?:[\r\n]|\\+[nr]|\Z))|))""",
     re.VERBOSE,
 )
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -118,6 +123,10 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
             free[kind] = match.end()
             if holds(match):
                 spans.append((kind, start, match.end()))
+        elif kind == "web_token":
+            # What follows the first part is the same for every later start within it.
+            part = WEB_PART.match(text, start)
+            free[kind] = part.end() if part else start
     spans += [("hex", a, b) for a, b in hex_runs(text)]
     return sorted(spans, key=lambda s: (s[1], ORDER[s[0]]))
 
@@ -136,10 +145,8 @@ def with_secrets(docs: DataFrame, name: str) -> DataFrame:
     @F.arrow_udf(SPANS)
     def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
-            found = [
-                [{"kind": k, "start": a, "end": b} for k, a, b in scan(text)] for text in batch.to_pylist()
-            ]
+        for part in (part for batch in batches for part in text_slices(batch)):
+            found = [[{"kind": k, "start": a, "end": b} for k, a, b in scan(text)] for text in part.to_pylist()]
             yield pa.array(found, kind)
 
     return docs.withColumn(name, spans(F.col("text")))
@@ -176,8 +183,8 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf("string")
     def mask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([masked(t) for t in batch.to_pylist()], pa.string())
+        for part in (part for batch in batches for part in text_slices(batch)):
+            yield pa.array([masked(t) for t in part.to_pylist()], pa.string())
 
     clean = docs.withColumn("text", mask(F.col("text")))
     if "n_chars" not in docs.columns:
