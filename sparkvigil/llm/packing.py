@@ -3,9 +3,11 @@
 Lengths are whole numbers up to the sequence capacity, so a histogram of at most ``capacity`` rows
 describes the packing problem whatever the corpus size. Large lengths are rounded up to the largest
 of their equal-cardinality group, the few rounded sizes are packed by a linear programme over
-configurations (column generation), real lengths take the rounded places, and everything left is
-best-fitted into the remaining room. The plan works on runs of equal sequences; Spark ranks the
-pieces within their length and looks their places up.
+configurations (column generation), real lengths take the rounded places, the last place of a
+configuration the largest real length that its true room holds, and everything left is best-fitted
+into the remaining room. What counts as large is tried with each of ``LARGE_SHARES``; the plan with
+the fewest sequences is taken. The plan works on runs of equal sequences; Spark ranks the pieces
+within their length and looks their places up.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed as often as
 they occur; pieces of one length are interchangeable, so ties only affect which copy goes where; an
@@ -28,10 +30,11 @@ from sparkvigil.session import stage
 
 CAPACITY = 1024
 END_ID = 2
-# Lengths above this share of the capacity are grouped; the rest is best-fitted.
-LARGE_SHARE = 0.34
+# Lengths above such a share of the capacity are grouped; the rest is best-fitted. Above a half, a
+# configuration has one place.
+LARGE_SHARES = (0.2, 0.5)
 # Most groups of the rounding.
-MAX_GROUPS = 64
+MAX_GROUPS = 128
 # The linear programme ends when it is this close to its own lower bound.
 GAP = 5e-4
 # Pieces of one length that are ranked together.
@@ -160,35 +163,43 @@ class Plan:
         if sequences:
             self.open.setdefault(room, []).append((first, sequences))
 
-    def substitute(self, members: list[list[int]], column: np.ndarray, sequences: int) -> None:
+    def fill(self, parts: list[tuple[int, int, int]], candidates: list[int]) -> list[tuple[int, int, int]]:
+        """Put into each of the runs (first, sequences, used) the first candidate that is left and fits.
+
+        ``candidates`` are in descending order; those of which none are left any more are removed.
+        """
+        done = []
+        while parts:
+            first, many, used = parts.pop()
+            while candidates and not self.left[candidates[0]]:
+                candidates.pop(0)
+            length = next((n for n in candidates if n <= self.capacity - used and self.left[n]), None)
+            if length is None:
+                done.append((first, many, used))
+                continue
+            now = min(many, self.left[length])
+            self.place(length, first, now, 1, used)
+            done.append((first, now, used + length))
+            if now < many:
+                parts.append((first + now, many - now, used))
+        return done
+
+    def substitute(self, members: list[list[int]], column: np.ndarray, sequences: int, lengths: list[int]) -> None:
         """Fill ``sequences`` new ones with real lengths of the groups of one configuration.
 
-        The smallest place of a configuration of several stays open: best fit finds a length there
-        that also uses the room which rounding up has left.
+        Of several places, the smallest one gets the largest of all ``lengths`` that fits: that also
+        uses the room which rounding up has left.
         """
         column = column.copy()
-        if column.sum() > 1:
+        several = column.sum() > 1
+        if several:
             column[np.flatnonzero(column)[0]] -= 1
         parts = [(self.sequences, sequences, 0)]
         self.sequences += sequences
-        for group in np.flatnonzero(column):
+        for group in np.flatnonzero(column)[::-1]:
             for _ in range(int(column[group])):
-                done = []
-                while parts:
-                    first, many, used = parts.pop()
-                    while members[group] and not self.left[members[group][-1]]:
-                        members[group].pop()
-                    if not members[group]:
-                        done.append((first, many, used))
-                        continue
-                    length = members[group][-1]
-                    now = min(many, self.left[length])
-                    self.place(length, first, now, 1, used)
-                    done.append((first, now, used + length))
-                    if now < many:
-                        parts.append((first + now, many - now, used))
-                parts = done
-        for first, many, used in parts:
+                parts = self.fill(parts, members[group])
+        for first, many, used in self.fill(parts, lengths) if several else parts:
             self.leave(self.capacity - used, first, many)
 
     def best_fit(self) -> None:
@@ -215,18 +226,24 @@ class Plan:
 
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """The whole plan from the histogram {length: pieces}; its size depends on the capacity alone."""
+    return min((plan_above(counts, capacity, share) for share in LARGE_SHARES), key=lambda plan: plan.sequences)
+
+
+def plan_above(counts: dict[int, int], capacity: int, share: float) -> Plan:
+    """The plan in which lengths above a share of the capacity are large."""
     plan = Plan(counts, capacity)
-    large = np.array(sorted(n for n in counts if LARGE_SHARE * capacity < n < capacity), dtype=int)
+    large = np.array(sorted(n for n in counts if share * capacity < n < capacity), dtype=int)
     many = np.array([counts[n] for n in large], dtype=int)
-    groups = int(min(MAX_GROUPS, many.sum()))
-    if groups:
-        rounded = group_sizes(large, many, groups)
+    if len(large):
+        few = len(large) <= MAX_GROUPS
+        rounded = large if few else group_sizes(large, many, int(min(MAX_GROUPS, many.sum())))
         sizes, at = np.unique(rounded, return_inverse=True)
         demand = np.bincount(at, weights=many)
-        members = [[int(n) for n in large[at == g]] for g in range(len(sizes))]
+        members = [[int(n) for n in large[at == g][::-1]] for g in range(len(sizes))]
+        lengths = sorted(counts, reverse=True)
         found = configurations(sizes, demand, capacity)
         for column, amount in sorted(found, key=lambda x: -x[1]):
-            plan.substitute(members, column, int(amount))
+            plan.substitute(members, column, int(amount), lengths)
     plan.best_fit()
     return plan
 
@@ -235,14 +252,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_
     """``pieces`` (doc_id, piece, start, length and any digest columns) with sequence_id and offset.
 
     ``pieces`` must be a stored table of narrow columns: it is read twice. A length that holds most of
-    the rows is ranked in hash buckets of about ``bucket_rows``, whose offsets come from their counts.
+    the rows is ranked in hash buckets of about ``bucket_rows``, whose offsets come from their counts;
+    rows that a document number does not tell apart are dealt by ``_row``, if there is one.
     """
+    key = ["_row"] if "_row" in pieces.columns else pieces.columns
     histogram = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
     counts = {int(r["length"]): int(r["count"]) for r in histogram}
     plan = plan_packing(counts, capacity)
     # A length gets buckets by its own count: at most ``capacity`` entries.
     buckets = ", ".join(f"{n}L, {-(-many // bucket_rows)}L" for n, many in counts.items()) or "0L, 1L"
-    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.expr(f"map({buckets})[length]")))
+    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.expr(f"map({buckets})[length]")))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("_bucket", "length")
@@ -270,13 +289,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
 
     placed = ranked.withColumn("_place", places("length", "_rank"))
-    return placed.select(*pieces.columns, "_place.sequence_id", "_place.offset")
+    kept = [c for c in pieces.columns if c != "_row"]
+    return placed.select(*kept, "_place.sequence_id", "_place.offset")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """Tokenise, cut and place whole documents; ids are kept as their checksum."""
     pieces = tokenize(docs, vocabulary, capacity).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(stage(pieces, "pieces"), capacity)
+    return pack(stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def build_sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
