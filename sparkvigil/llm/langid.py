@@ -7,7 +7,9 @@ documents put one after another, so that the model sees languages change inside
 runs forward-backward over all words of a text; the text's label has the largest mean posterior.
 
 The model is fitted on the driver from at most ``SAMPLE_ROWS`` labelled documents (``WINDOW_WORDS``
-words each, picked by hash); prediction reads whole texts in Arrow batches on the executors.
+words each, picked by hash); prediction reads whole texts in Arrow batches on the executors. Besides
+the winner's share, a prediction says how much of a text is written like the learned languages: the
+mean share of a word's 3-grams that the sample holds, whichever language they are from.
 
 Defined results: a null text, an empty one and one without letters get ``und`` and score 0, and so
 does every text if nothing is labelled; labels that are null are not learned; ties go to the label
@@ -40,13 +42,18 @@ RIDGE = 1e-4
 UNKNOWN = "und"
 # Words that go through forward-backward together.
 GROUP_WORDS = 1 << 19
+# Least share of known 3-grams of a text in a learned language, and as how many known words its
+# brevity counts: a few words prove nothing.
+LEAST_KNOWN = 0.65
+DOUBT_WORDS = 4
 
-RESULT = "struct<lang_pred:string,score:double>"
+RESULT = "struct<lang_pred:string,score:double,known:double>"
 
 
 @dataclass
 class LanguageModel:
-    """Weights: hashed n-grams by label, lexicon membership by label, transitions, first word."""
+    """Weights: hashed n-grams by label, lexicon membership by label, transitions, first word; and the
+    3-grams of the sample."""
 
     labels: list[str]
     grams: np.ndarray
@@ -55,6 +62,7 @@ class LanguageModel:
     lexicon: np.ndarray
     moves: np.ndarray
     first: np.ndarray
+    met: frozenset[str] = frozenset()
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -113,6 +121,18 @@ def evidence(model: LanguageModel, words: pa.Array) -> np.ndarray:
     return out
 
 
+def trigrams(word: str) -> list[str]:
+    marked = f"\x02{word}\x03"
+    return [marked[i : i + 3] for i in range(len(marked) - 2)]
+
+
+def familiarity(model: LanguageModel, words: pa.Array) -> np.ndarray:
+    """The share of each word's 3-grams that the sample holds."""
+    met = model.met
+    shares = ((own := trigrams(w), sum(g in met for g in own) / len(own))[1] for w in words.to_pylist())
+    return np.fromiter(shares, dtype=np.float64, count=len(words))
+
+
 def posteriors(weight: np.ndarray, lengths: np.ndarray, first: np.ndarray, moves: np.ndarray):
     """Posterior of every word of sequences laid end to end, and expected transitions.
 
@@ -163,10 +183,11 @@ def fit(samples: list[tuple[list[str], str]], seed: int = 7) -> LanguageModel |
         return None
     number = {lang: i for i, lang in enumerate(labels)}
     words, listed = lexicons(samples, labels)
+    met = frozenset(g for w in {w for own, _ in samples for w in own} for g in trigrams(w))
     rng = np.random.default_rng(seed)
     k = len(labels)
     model = LanguageModel(
-        labels, np.zeros((BUCKETS, k)), words, listed, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k)
+        labels, np.zeros((BUCKETS, k)), words, listed, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k), met
     )
     params = [model.grams, model.lexicon, model.moves, model.first]
     power = [np.full_like(p, 1e-6) for p in params]
@@ -266,13 +287,15 @@ def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, window: int =
     return [(r["words"], r["lang"]) for r in nth.collect()]
 
 
-def predict(model: LanguageModel, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Label and mean posterior of every text of a batch."""
+def predict(model: LanguageModel, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Label, mean posterior and share of known 3-grams of every text of a batch."""
     words, edges = words_of(texts)
     coded = words.dictionary_encode()
     code = coded.indices.to_numpy(zero_copy_only=False)
     weight = scaled(evidence(model, coded.dictionary))
     lengths = np.diff(edges)
+    share = np.r_[0.0, np.cumsum(familiarity(model, coded.dictionary)[code])]
+    known = (np.diff(share[edges]) + DOUBT_WORDS) / (lengths + DOUBT_WORDS)
     order = np.flatnonzero(lengths)
     order = order[np.argsort(-lengths[order], kind="stable")]
     means = np.zeros((len(texts), len(model.labels)))
@@ -285,20 +308,22 @@ def predict(model: LanguageModel, texts: pa.Array) -> tuple[list[str], np.ndarra
         means[rows] = np.add.reduceat(found, heads, axis=0) / own[:, None]
     best = means.argmax(axis=1)
     score = means[np.arange(len(best)), best]
-    return [model.labels[b] if n else UNKNOWN for b, n in zip(best, lengths, strict=True)], np.clip(score, 0, 1)
+    return [model.labels[b] if n else UNKNOWN for b, n in zip(best, lengths, strict=True)], np.clip(score, 0, 1), known
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, name: str) -> DataFrame:
-    """``docs`` with the struct (lang_pred, score) of its texts in the new column ``name``."""
+    """``docs`` with the struct (lang_pred, score, known) of its texts in the new column ``name``."""
 
     @F.arrow_udf(RESULT)
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [predict(model, part) for part in text_slices(batch)] if model is not None else []
-            langs = [lang for part, _ in parts for lang in part] or [UNKNOWN] * len(batch)
-            score = np.concatenate([s for _, s in parts]) if parts else np.zeros(len(batch))
+            langs = [lang for part, *_ in parts for lang in part] or [UNKNOWN] * len(batch)
+            none = [(None, np.zeros(len(batch)), np.zeros(len(batch)))]
+            score, known = (np.concatenate([p[i] for p in parts or none]) for i in (1, 2))
             yield pa.StructArray.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"]
+                [pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(known, pa.float64())],
+                ["lang_pred", "score", "known"],
             )
 
     return docs.withColumn(name, label(F.col("text")))
@@ -321,11 +346,12 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "found.lang_pred", "found.score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """``docs`` without those that have no language, or none with a mean posterior of ``least``.
+def keep_identified(docs: DataFrame, least: float = LEAST_KNOWN) -> DataFrame:
+    """``docs`` without those that have no language, or are not written like any learned one.
 
-    Texts that change between known languages stay: one of them still has about a third.
+    Not the winner's share decides, but the evidence of the words: texts that change between known
+    languages stay, however many; texts of which less than ``least`` of the 3-grams are known go.
     """
     [name] = fresh(docs, "language")
     found = with_language(docs, train(docs), name)
-    return found.filter((F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["score"] >= least)).drop(name)
+    return found.filter((F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["known"] >= least)).drop(name)

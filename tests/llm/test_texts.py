@@ -226,6 +226,67 @@ def test_language_filter_keeps_clean_documents(docs, edge):
     assert {r["doc_id"] for r in langid.keep_identified(edge.union(edge)).collect()}.isdisjoint({1, 2, 3, 4})
 
 
+UNLEARNED = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja"
+    " omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах",
+    "zh": "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心 并应以兄弟关系的精神相对待",
+    "noise": "xkcd qwrtp zxcvb bnmkl fghjk wrtzp klmnp ghtrw sdfgh qqxz vvbn",
+}
+
+
+def test_language_filter_rejects_unlearned_languages(spark, docs, texts):
+    lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    long = [next(t for d, t in texts.items() if lang[d] == name and len(t) > 1000)[:200] for name in sorted(set(lang.values()))]
+    rows = [(1000 + i, t, None) for i, t in enumerate(UNLEARNED.values())]
+    rows += [(2000, " ".join(long), None), (2001, " ".join(w for ws in zip(*[t.split() for t in long], strict=False) for w in ws), None)]
+    more = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    table = docs.select("doc_id", "text", "lang").unionByName(more)
+    kept = {r["doc_id"] for r in langid.keep_identified(table).collect()}
+    assert kept == set(texts) | {2000, 2001}
+
+
+def test_prediction_by_plain_formulas(docs, texts):
+    """Features, evidence and label of texts, word by word and path sums in plain Python."""
+    model = langid.train(docs)
+    sample = sorted(texts)[::40]
+    parts = [" ".join(texts[d].split()[:25]) for d in sample]
+    labels, scores, known = langid.predict(model, pa.array(parts))
+    for text, label, score, share in zip(parts, labels, scores, known, strict=True):
+        words = [w for w in re.split(r"[^a-zà-öø-ÿß]+", text.lower()) if w]
+        logs = []
+        for w in words:
+            marked = f"\x02{w}\x03"
+            own = np.zeros(len(model.labels))
+            for n in (2, 3, 4):
+                for i in range(len(marked) - n + 1):
+                    if n < 4 or i == 0 or i == len(marked) - n:
+                        own += model.grams[plain_bucket(marked[i : i + n])]
+            if w in model.words:
+                own += model.listed[model.words.index(w)] @ model.lexicon
+            logs.append(own)
+        ahead = [model.first + logs[0]]
+        for own in logs[1:]:
+            ahead.append(np.logaddexp.reduce(ahead[-1][:, None] + model.moves, axis=0) + own)
+        back = [np.zeros(len(model.labels))]
+        for own in logs[:0:-1]:
+            back.append(np.logaddexp.reduce(model.moves + (own + back[-1])[None, :], axis=1))
+        mean = np.mean([np.exp(a + b - np.logaddexp.reduce(a + b)) for a, b in zip(ahead, back[::-1], strict=True)], axis=0)
+        assert label == model.labels[int(mean.argmax())] and score == pytest.approx(mean.max(), abs=1e-6)
+        grams = [[f"\x02{w}\x03"[i : i + 3] for i in range(len(w))] for w in words]
+        plain = sum(sum(g in model.met for g in own) / len(own) for own in grams)
+        assert share == pytest.approx((plain + langid.DOUBT_WORDS) / (len(words) + langid.DOUBT_WORDS))
+
+
+def plain_bucket(gram):
+    mixed = len(gram)
+    for char in gram:
+        mixed = (mixed ^ ord(char)) * 0x9E3779B97F4A7C15 % (1 << 64)
+        mixed ^= mixed >> 29
+    return mixed % langid.BUCKETS
+
+
 # Secrets
 
 PIECES = st.sampled_from(
