@@ -7,41 +7,56 @@ from pyspark.sql import functions as F
 
 from sparkvigil.session import stage
 
+# A node of more edges than this is joined by broadcast, and so many nodes at most.
+HOT_EDGES = 1_000
+HOT_NODES = 500_000
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the smallest node it is joined to.
 
     Every step writes its edges to the shared folder, so a lost executor only repeats one step. No
     step makes more edges than it read; the steps end when the edges no longer change, which takes
-    about the logarithm of the longest path.
+    about the logarithm of the longest path. The edges of a node with very many of them, such as the
+    centre of a star, stay where they are: what they need to know of it is broadcast.
     """
     current = stage(edges.select("a", "b").filter("a <> b"), "edges")
-    seen = None
+    seen, many = None, current.count()
     while True:
-        current = stage(small_star(large_star(current)), "edges")
+        # Each edge counts for two nodes, so there are at most HOT_NODES nodes above the limit.
+        limit = max(HOT_EDGES, -(-2 * many // HOT_NODES))
+        current = stage(small_star(large_star(current, limit), limit), "edges")
         state = current.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
         ).first()
         if state == seen:
             break
-        seen = state
+        seen, many = state, state["n"]
     # Now every edge joins a node to its root.
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     own = current.select(F.col("b").alias("node"), F.col("b").alias("root"))
     return roots.union(own).distinct()
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def with_least(rows: DataFrame, least: DataFrame, limit: int) -> DataFrame:
+    """``rows`` (a, b) with ``m`` of their ``a`` from ``least`` (a, m, n), n being its edges."""
+    hot = least.filter(F.col("n") > limit).select("a", "m")
+    cold = least.filter(F.col("n") <= limit).select("a", "m")
+    others = rows.join(F.broadcast(hot.select("a")), "a", "left_anti").join(cold, "a")
+    return rows.join(F.broadcast(hot), "a").unionByName(others)
+
+
+def large_star(edges: DataFrame, limit: int = HOT_EDGES) -> DataFrame:
     """Join every larger neighbour of a node to the smallest of its neighbourhood."""
     both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-    far = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "a"))
+    far = with_least(both.filter("b > a"), least, limit).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return far.filter("a <> b").distinct()
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, limit: int = HOT_EDGES) -> DataFrame:
     """Join every smaller-or-equal neighbour of a node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    near = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    near = with_least(down, least, limit).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return near.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()

@@ -469,6 +469,19 @@ def test_components_of_long_paths(spark):
     assert components.connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_star_centres_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(components, "HOT_EDGES", 3)
+    rng = random.Random(2)
+    edges = [(50, i) for i in range(51, 90)] + [(i, 200 + i) for i in range(51, 60)] + [(7, 5), (5, 6), (300, 7)]
+    edges += [(rng.randint(400, 440), rng.randint(400, 440)) for _ in range(60)]
+    found = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    group = {n: n for e in edges for n in e}
+    for _ in group:
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    assert found == {n: g for n, g in group.items() if any(n in e and e[0] != e[1] for e in edges)}
+
+
 # Mixing
 
 
