@@ -19,6 +19,7 @@ go to the word that sorts first; columns of the input are kept, new ones are nam
 from __future__ import annotations
 
 from math import log
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,39 +30,138 @@ BASE_PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
-# The notices of common licences as they are usually quoted, and the phrases of which
-# a document must hold one.
-TEMPLATES = {
-    "mit": (
-        "released under the mit license permission is hereby granted free of charge to any person obtaining"
-        " a copy of this software and associated documentation files",
-        ("under the mit license", "permission is hereby granted free of charge"),
-    ),
-    "apache-2.0": (
+GNU = "free software you can redistribute it and or modify it under the terms of the"
+FOUNDATION = "as published by the free software foundation either version"
+# The notices of common licences as they are usually quoted, one template each, and the
+# phrases of which a document must hold one, where the template has it. Versions stand in the phrases.
+NOTICES: list[tuple[str, str, tuple[str, ...]]] = [
+    ("agpl-3.0", f"{GNU} gnu affero general public license {FOUNDATION} 3", (f"gnu affero general public license {FOUNDATION} 3",)),
+    ("agpl-3.0", "under the gnu affero general public license version 3", ("gnu affero general public license version 3",)),
+    ("agpl-3.0", "spdx license identifier agpl 3 0", ("spdx license identifier agpl 3 0",)),
+    (
+        "apache-2.0",
         "licensed under the apache license version 2 0 the license you may not use this file except in"
         " compliance with the license",
         ("apache license version 2 0",),
     ),
-    "gpl-3.0": (
-        "this work is licensed under the gnu general public license version 3 this program is free software"
-        " you can redistribute it and or modify it under the terms of the gnu general public license",
-        ("gnu general public license version 3", "terms of the gnu general public license"),
-    ),
-    "bsd": (
+    ("apache-2.0", "www apache org licenses license 2 0", ("apache org licenses license 2 0",)),
+    ("apache-2.0", "spdx license identifier apache 2 0", ("spdx license identifier apache 2 0",)),
+    ("artistic-2.0", "under the terms of the artistic license 2 0", ("artistic license 2 0",)),
+    (
+        "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted"
         " provided that the following conditions are met",
         ("redistribution and use in source and binary forms",),
     ),
-    "cc-by-nc-4.0": (
-        "licensed under cc by nc 4 0 this work is licensed under a creative commons attribution"
-        " noncommercial 4 0 international license",
-        ("cc by nc 4 0", "creative commons attribution noncommercial 4 0"),
+    ("bsd-2-clause", "spdx license identifier bsd 2 clause", ("spdx license identifier bsd 2 clause",)),
+    (
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+        ("names of its contributors may be used to endorse or promote products derived from this software",),
+    ),
+    ("bsd-3-clause", "spdx license identifier bsd 3 clause", ("spdx license identifier bsd 3 clause",)),
+    ("bsl-1.0", "boost software license version 1 0", ("boost software license version 1 0",)),
+    ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
+    ("cc-by-4.0", "licensed under cc by 4 0", ("cc by 4 0",)),
+    (
+        "cc-by-nc-4.0",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+        ("creative commons attribution noncommercial 4 0",),
+    ),
+    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
+    (
+        "cc-by-nc-nd-4.0",
+        "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license",
+        ("creative commons attribution noncommercial noderivatives 4 0",),
+    ),
+    ("cc-by-nc-nd-4.0", "licensed under cc by nc nd 4 0", ("cc by nc nd 4 0",)),
+    (
+        "cc-by-nc-sa-4.0",
+        "licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
+        ("creative commons attribution noncommercial sharealike 4 0",),
+    ),
+    ("cc-by-nc-sa-4.0", "licensed under cc by nc sa 4 0", ("cc by nc sa 4 0",)),
+    (
+        "cc-by-sa-3.0",
+        "licensed under the creative commons attribution sharealike 3 0 unported license",
+        ("creative commons attribution sharealike 3 0",),
+    ),
+    ("cc-by-sa-3.0", "licensed under cc by sa 3 0", ("cc by sa 3 0",)),
+    (
+        "cc-by-sa-4.0",
+        "licensed under a creative commons attribution sharealike 4 0 international license",
+        ("creative commons attribution sharealike 4 0",),
+    ),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4 0",)),
+    ("cc0-1.0", "creative commons cc0 1 0 universal public domain dedication", ("cc0 1 0 universal",)),
+    ("cc0-1.0", "spdx license identifier cc0 1 0", ("spdx license identifier cc0 1 0",)),
+    ("epl-2.0", "under the terms of the eclipse public license 2 0", ("eclipse public license 2 0",)),
+    ("epl-2.0", "under the terms of the eclipse public license v 2 0", ("eclipse public license v 2 0",)),
+    ("gpl-2.0", f"{GNU} gnu general public license {FOUNDATION} 2", (f"gnu general public license {FOUNDATION} 2",)),
+    ("gpl-2.0", "under the gnu general public license version 2", ("gnu general public license version 2",)),
+    ("gpl-2.0", "spdx license identifier gpl 2 0", ("spdx license identifier gpl 2 0",)),
+    ("gpl-3.0", f"{GNU} gnu general public license {FOUNDATION} 3", (f"gnu general public license {FOUNDATION} 3",)),
+    (
+        "gpl-3.0",
+        "this work is licensed under the gnu general public license version 3",
+        ("gnu general public license version 3",),
+    ),
+    ("gpl-3.0", "under the gnu general public license v3", ("gnu general public license v3",)),
+    ("gpl-3.0", "spdx license identifier gpl 3 0", ("spdx license identifier gpl 3 0",)),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies",
+        ("with or without fee is hereby granted provided that the above copyright notice and this permission notice appear",),
     ),
-    "mpl-2.0": (
+    ("isc", "spdx license identifier isc", ("spdx license identifier isc",)),
+    (
+        "lgpl-2.1",
+        f"{GNU} gnu lesser general public license {FOUNDATION} 2 1",
+        (f"gnu lesser general public license {FOUNDATION} 2 1",),
+    ),
+    ("lgpl-2.1", "under the gnu lesser general public license version 2 1", ("gnu lesser general public license version 2 1",)),
+    ("lgpl-2.1", "spdx license identifier lgpl 2 1", ("spdx license identifier lgpl 2 1",)),
+    (
+        "lgpl-3.0",
+        f"{GNU} gnu lesser general public license {FOUNDATION} 3",
+        (f"gnu lesser general public license {FOUNDATION} 3",),
+    ),
+    ("lgpl-3.0", "under the gnu lesser general public license version 3", ("gnu lesser general public license version 3",)),
+    ("lgpl-3.0", "spdx license identifier lgpl 3 0", ("spdx license identifier lgpl 3 0",)),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction",
+        ("permission is hereby granted free of charge to any person obtaining a copy of this software",),
+    ),
+    ("mit", "released under the mit license", ("under the mit license",)),
+    ("mit", "under the terms of the mit license", ("terms of the mit license",)),
+    ("mit", "spdx license identifier mit", ("spdx license identifier mit",)),
+    (
+        "mpl-2.0",
         "this source code form is subject to the terms of the mozilla public license v 2 0",
         ("mozilla public license v 2 0",),
     ),
-}
+    ("mpl-2.0", "under the mozilla public license version 2 0", ("mozilla public license version 2 0",)),
+    ("mpl-2.0", "spdx license identifier mpl 2 0", ("spdx license identifier mpl 2 0",)),
+    ("ofl-1.1", "this font software is licensed under the sil open font license version 1 1", ("sil open font license version 1 1",)),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish"
+        " use compile sell or distribute this software",
+        ("free and unencumbered software released into the public domain",),
+    ),
+    ("unlicense", "spdx license identifier unlicense", ("spdx license identifier unlicense",)),
+    (
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to"
+        " alter it and redistribute it freely",
+        ("to use this software for any purpose including commercial applications and to alter it",),
+    ),
+    ("zlib", "spdx license identifier zlib", ("spdx license identifier zlib",)),
+]
 # Words that are looked up for each template and for each key phrase (none has more words), and votes
 # that make a candidate.
 TOP = 8
@@ -72,7 +172,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def vocabulary() -> list[str]:
     """Every word of the templates and the base phrases."""
-    texts = [text for text, _ in TEMPLATES.values()]
+    texts = [text for _, text, _ in NOTICES]
     return sorted({word for text in [*texts, *BASE_PHRASES] for word in text.split()})
 
 
@@ -95,7 +195,8 @@ def words_of(text: Column) -> Column:
         tail = ((F.element_at(parts, -1) == "") & (F.size(parts) > 1)).cast("int")
         return F.slice(parts, lead + 1, F.size(parts) - lead - tail)
 
-    return bind(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), inner)
+    low = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
+    return bind(F.split(low, SEPARATORS), inner)
 
 
 def words_literal(words: list[str]) -> Column:
@@ -135,7 +236,7 @@ def phrase_places(words: Column, phrase: str, anchor: str, anchors: Column) -> C
 def postings() -> dict[str, list[tuple[int, int]]]:
     """Word -> (template number, place) wherever it stands."""
     out: dict[str, list[tuple[int, int]]] = {}
-    for number, (text, _) in enumerate(TEMPLATES.values()):
+    for number, (_, text, _) in enumerate(NOTICES):
         for place, word in enumerate(text.split()):
             out.setdefault(word, []).append((number, place))
     return out
@@ -204,39 +305,63 @@ def candidates_of(votes: Column) -> Column:
     return F.aggregate(votes, start, count)["found"]
 
 
-def verified(words: Column, found: Column, number: int, text: str, phrases: tuple[str, ...]) -> Column:
-    """The candidates of one template where a key phrase stands as the template has it."""
-    shifts = [(p, text[: text.index(p)].count(" ")) for p in phrases]
+def notice_table(weights: dict[str, float]) -> Column:
+    """The notices as one constant array: label, words by weight, and key phrases with their places."""
+
+    def listed(words: list[str]) -> str:
+        return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+    def by_weight(text: str) -> list[str]:
+        return sorted(set(text.split()), key=lambda w: (-weights[w], w))
+
+    rows = []
+    for label, text, phrases in NOTICES:
+        keys = ", ".join(
+            f"named_struct('words', {listed(p.split())}, 'rare', {listed(by_weight(p)[:TOP])}, 'shift', {text[: text.index(p)].count(' ')})"
+            for p in phrases
+        )
+        rows.append(f"named_struct('label', '{label}', 'words', {listed(by_weight(text))}, 'phrases', array({keys}))")
+    return F.expr(f"array({', '.join(rows)})")
+
+
+def weight_map(weights: dict[str, float]) -> Column:
+    return F.expr("map(" + ", ".join(f"'{w}', {v!r}D" for w, v in weights.items()) + ")")
+
+
+def looked_up(notices: Column, held: Column) -> Column:
+    """The words to look up: of every notice of which all words of a key phrase are there, the rarest ones."""
+    nothing = F.expr("cast(array() as array<string>)")
+
+    def of_notice(notice: Column) -> Column:
+        stand = F.filter(notice["phrases"], lambda p: F.size(F.array_except(p["words"], held)) == 0)
+        own = F.slice(F.array_intersect(notice["words"], held), 1, TOP)
+        return F.when(F.size(stand) > 0, F.concat(F.flatten(F.transform(stand, lambda p: p["rare"])), own)).otherwise(nothing)
+
+    return F.array_distinct(F.flatten(F.transform(notices, of_notice)))
+
+
+def verified(words: Column, found: Column, notices: Column) -> Column:
+    """The candidates where a key phrase stands as the template has it."""
 
     def holds(c: Column) -> Column:
-        out = F.lit(False)
-        for phrase, shift in shifts:
-            begin = c["begin"] + F.lit(shift)
-            out = out | ((begin >= 0) & stands_at(words, phrase, F.greatest(begin, F.lit(0))))
-        return out
+        def stands(p: Column) -> Column:
+            begin = c["begin"] + p["shift"]
+            return (begin >= 0) & (F.slice(words, F.greatest(begin, F.lit(0)) + 1, F.size(p["words"])) == p["words"])
 
-    return F.filter(found, lambda c: (c["t"] == number) & holds(c))
+        return F.exists(F.element_at(notices, c["t"] + 1)["phrases"], stands)
+
+    return F.filter(found, holds)
 
 
 def finding(words: Column, base: Column, votes: Column, rare: Column, weights: dict[str, float]) -> Column:
     """Labels and score from the places and votes of one document."""
+    notices, weight = notice_table(weights), weight_map(weights)
 
-    def total(text: str) -> Column:
-        """The looked-up weight of one template."""
-        own = sorted(set(text.split()))
-        shares = [F.when(F.array_contains(rare, w), F.lit(weights[w])).otherwise(F.lit(0.0)) for w in own]
-        return F.aggregate(F.array(*shares), F.lit(0.0), lambda a, v: a + v)
-
-    def share_of(label: str, text: str):
-        most = F.greatest(total(text), F.lit(1e-9))
-        return lambda c: F.struct(F.lit(label).alias("label"), (c["v"] / most).alias("v"))
-
-    def judge(found: Column) -> Column:
-        sure = [
-            F.transform(verified(words, found, number, text, phrases), share_of(label, text))
-            for number, (label, (text, phrases)) in enumerate(TEMPLATES.items())
-        ]
-        return F.concat(*sure)
+    def judged(c: Column) -> Column:
+        notice = F.element_at(notices, c["t"] + 1)
+        looked = F.filter(notice["words"], lambda w: F.array_contains(rare, w))
+        most = F.aggregate(looked, F.lit(0.0), lambda total, w: total + weight[w])
+        return F.struct(notice["label"].alias("label"), (c["v"] / F.greatest(most, F.lit(1e-9))).alias("v"))
 
     def result(sure: Column) -> Column:
         best = F.array_max(F.transform(sure, lambda c: c["v"]))
@@ -247,7 +372,7 @@ def finding(words: Column, base: Column, votes: Column, rare: Column, weights: d
             F.least(F.lit(1.0), F.coalesce(best, F.lit(0.0))).alias("score"),
         )
 
-    return bind(bind(candidates_of(votes), judge), result)
+    return bind(F.transform(verified(words, candidates_of(votes), notices), judged), result)
 
 
 def with_licenses(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
@@ -259,29 +384,14 @@ def with_licenses(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """
     weights = inverse_frequencies(docs, text)
     base = words_literal(sorted({rarest(p, weights) for p in BASE_PHRASES}))
-    needed = {rarest(p, weights) for _, phrases in TEMPLATES.values() for p in [*phrases, *BASE_PHRASES]}
+    needed = {rarest(p, weights) for p in [*BASE_PHRASES, *[p for _, _, phrases in NOTICES for p in phrases]]}
     anchors = words_literal(sorted(needed))
-
     licence_words = words_literal(sorted(postings()))
 
-    def by_weight(phrase: str) -> list[str]:
-        return sorted(set(phrase.split()), key=lambda w: (-weights[w], w))
-
-    def looked_up(held: Column, text: str, phrases: tuple[str, ...]) -> Column:
-        nothing = F.expr("cast(array() as array<string>)")
-        of_phrases = [words_literal(by_weight(p)[:TOP]) for p in phrases]
-        stand = [F.size(F.array_except(words_literal(by_weight(p)), held)) == 0 for p in phrases]
-        parts = [F.when(can, of).otherwise(nothing) for can, of in zip(stand, of_phrases, strict=True)]
-        parts.append(F.slice(F.array_intersect(words_literal(by_weight(text)), held), 1, TOP))
-        can_stand = stand[0]
-        for other in stand[1:]:
-            can_stand = can_stand | other
-        return F.when(can_stand, F.concat(*parts)).otherwise(nothing)
-
     def look_up(words: Column) -> Column:
         # Without the rarest word of any phrase nothing can be verified: the words are not walked through.
         held = F.array_intersect(licence_words, words)
-        rare = bind(held, lambda h: F.array_distinct(F.concat(*[looked_up(h, *t) for t in TEMPLATES.values()])))
+        rare = bind(held, lambda h: looked_up(notice_table(weights), h))
         walked = bind(rare, lambda r: bind(F.array_union(r, base), lambda wanted: locate(words, r, wanted)))
         nothing = F.struct(
             F.size(words).cast("long").alias("words"),

@@ -93,6 +93,33 @@ def licenses(text):
     return len(words), sorted(places)
 
 
+def notices(texts, table, top=8, votes=2):
+    """(labels, score) of every text: all begins of all notices are counted one by one."""
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)) for t in texts]
+    known = {w for _, text, _ in table for w in text.split()}
+    weight = {w: np.log((1 + len(split)) / (1 + sum(w in own for own in map(set, split)))) for w in known}
+    out = []
+    for words in split:
+        looked = set()
+        for _, text, phrases in table:
+            stand = [p for p in phrases if set(p.split()) <= set(words)]
+            if stand:
+                for part in [*stand, " ".join(w for w in text.split() if w in words)]:
+                    looked |= set(sorted(set(part.split()), key=lambda w: (-weight[w], w))[:top])
+        labels, score = set(), 0.0
+        for label, text, phrases in table:
+            own = text.split()
+            most = sum(weight[w] for w in set(own) & looked)
+            for begin in range(-len(own), len(words)):
+                hit = [w for i, w in enumerate(own) if 0 <= begin + i < len(words) and words[begin + i] == w and w in looked]
+                keys = [(begin + text[: text.index(p)].count(" "), p.split()) for p in phrases]
+                if len(hit) >= votes and any(k >= 0 and words[k : k + len(p)] == p for k, p in keys):
+                    labels.add(label)
+                    score = max(score, sum(weight[w] for w in hit) / max(most, 1e-9))
+        out.append((sorted(labels), min(1.0, score)))
+    return out
+
+
 def top(vectors, queries, k):
     """{query: [(vec_id, score)]} by exact products; rows are (vec_id, vector)."""
     out = {}

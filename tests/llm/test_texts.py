@@ -592,20 +592,75 @@ def test_license_edges(spark, tmp_path):
 
 
 def test_every_notice_of_a_document_is_found(spark):
-    notices = {label: text for label, (text, _) in licenses.TEMPLATES.items()}
+    few = [next(t for label, t, _ in licenses.NOTICES if label == name) for name in ("mit", "apache-2.0", "gpl-3.0", "bsd")]
     ordinary = "you may copy the source code and these files with the following program and software in any other "
-    texts = [" and ".join(notices.values()), " ".join(notices[k] for k in ("mit", "apache-2.0", "gpl-3.0", "bsd"))]
-    texts += [ordinary + phrase + " " + ordinary for _, phrases in licenses.TEMPLATES.values() for phrase in phrases]
+    texts = [" and ".join(t for _, t, _ in licenses.NOTICES), " ".join(few)]
+    texts += [ordinary + phrase + " " + ordinary for _, _, phrases in licenses.NOTICES for phrase in phrases]
     filler = [f"nothing of that kind {i}" for i in range(40)] + ["apache license version 2 0"] * 40
     table = spark.createDataFrame(list(enumerate(texts + filler)), "doc_id bigint, text string")
     found = {r["doc_id"]: r for r in licenses.scan_licenses(table).collect()}
-    assert found[0]["templates"] == sorted(notices)
+    assert found[0]["templates"] == sorted({label for label, _, _ in licenses.NOTICES})
     assert found[1]["templates"] == ["apache-2.0", "bsd", "gpl-3.0", "mit"]
-    expected = [label for label, (_, phrases) in licenses.TEMPLATES.items() for _ in phrases]
+    expected = [label for label, _, phrases in licenses.NOTICES for _ in phrases]
     assert [found[i + 2]["templates"] for i in range(len(expected))] == [[label] for label in expected]
     assert all(0 < found[i]["score"] <= 1 for i in range(len(texts)))
 
 
+GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public"
+    " License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+NOTICE_TEXTS = {
+    GNU_HEADER.format("", "2"): ["gpl-2.0"],
+    GNU_HEADER.format("", "3"): ["gpl-3.0"],
+    GNU_HEADER.format("Lesser ", "2.1"): ["lgpl-2.1"],
+    GNU_HEADER.format("Lesser ", "3"): ["lgpl-3.0"],
+    GNU_HEADER.format("Affero ", "3"): ["agpl-3.0"],
+    "You can use it under the terms of the GNU General Public License.": [],
+    "under the GNU General Public License, version 2 only": ["gpl-2.0"],
+    "# SPDX-License-Identifier: MIT": ["mit"],
+    "// SPDX-License-Identifier: GPL-2.0-or-later": ["gpl-2.0"],
+    "/* SPDX-License-Identifier: Apache-2.0 */": ["apache-2.0"],
+    "SPDX-License-Identifier: BSD-3-Clause": ["bsd-3-clause"],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+    " provided that the above copyright notice and this permission notice appear in all copies.": ["isc"],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": [],
+    "This is free and unencumbered software released into the public domain.": ["unlicense"],
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa-4.0"],
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": ["cc-by-4.0"],
+    "This work is licensed under CC BY-NC-SA 4.0": ["cc-by-nc-sa-4.0"],
+    "Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0"],
+    "under the terms of the Eclipse Public License v. 2.0 which is available": ["epl-2.0"],
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["mpl-2.0"],
+    "Mozilla Public License, v. 1.1": [],
+    "Licensed under the Apache License, Version 1.1": [],
+    "The MIT Press has a licence for it.": [],
+    "This software is in the public domain, free of charge and granted to any person.": [],
+}
+
+
+def test_notices_and_near_misses(spark):
+    texts = [*NOTICE_TEXTS, *[f"plain words number {i} of the software and the license" for i in range(60)]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["templates"] for r in licenses.scan_licenses(table).collect()}
+    assert {t: found[i] for i, t in enumerate(NOTICE_TEXTS)} == NOTICE_TEXTS
+
+
+def test_labels_and_scores_like_plain_counting(spark, texts):
+    rng = random.Random(4)
+    words = sorted({w for _, t, _ in licenses.NOTICES for w in t.split()})
+    made = [t for _, t, _ in licenses.NOTICES]
+    for _ in range(60):
+        pieces = [rng.choice(made).split() for _ in range(rng.randint(1, 3))]
+        cut = [p[rng.randint(0, 3) : len(p) - rng.randint(0, 3)] for p in pieces]
+        made.append(" ".join(w for p in cut for w in [*p, *rng.choices(words, k=rng.randint(0, 4))]))
+    made += [t[:600] for t in list(texts.values())[:60]] + list(NOTICE_TEXTS)
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(table).collect()}
+    for i, (labels, score) in enumerate(brute.notices(made, licenses.NOTICES)):
+        assert found[i]["templates"] == labels and found[i]["score"] == pytest.approx(score, abs=1e-9), made[i]
+
+
 # WARC
 
 PAGES = [
