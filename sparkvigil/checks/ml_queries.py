@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sparkvigil.operators import artifacts, evaluation, features, models, sampling, scoring, training
 from sparkvigil.session import scratch_path, stage
 from sparkvigil.sources import retail, tables
+from sparkvigil.sources.commits import file_system, hadoop_path
 from sparkvigil.sources.schemas import FEATURES
 
 # Bound on the rows of each class that the registered queries fit their models on; the published job
@@ -22,12 +23,13 @@ from sparkvigil.sources.schemas import FEATURES
 FIT_ROWS = 1_000
 CLOSE = 1e-9
 
-_runs: dict[tuple[str, str], training.Run] = {}
+_runs: dict[tuple, training.Run] = {}
 
 
 def training_run(spark: SparkSession, d: str) -> training.Run:
-    """The published parameters on the whole tables, fitted on ``FIT_ROWS`` rows a class, once per session and folder."""
-    key = (spark.sparkContext.applicationId, d)
+    """The published parameters on the whole tables, fitted on ``FIT_ROWS`` rows a class, once per
+    session and state of the tables' files."""
+    key = (spark.sparkContext.applicationId, d, *(state_of_files(spark, f"{d}/{t}.parquet") for t in ("events", "customer")))
     if key not in _runs:
         _runs[key] = training.train_run(
             retail.transactions(spark, d), retail.customers(spark, d), target_rows=FIT_ROWS
@@ -35,6 +37,12 @@ def training_run(spark: SparkSession, d: str) -> training.Run:
     return _runs[key]
 
 
+def state_of_files(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table."""
+    found = file_system(spark, path).listStatus(hadoop_path(spark, path))
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def mixed_batch(spark: SparkSession, d: str) -> DataFrame:
     """The batch upload with missing, text, unknown and numeric customer ids and mixed letter case."""
     tid, own = F.col("transaction_id").cast("long"), F.col("customer_id")

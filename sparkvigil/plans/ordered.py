@@ -9,6 +9,7 @@ from sparkvigil.plans.skew import (
     MAX_GROUP_ROWS,
     TAG,
     hot_groups,
+    is_small,
     null_safe_join,
     sized,
     split_hot,
@@ -62,7 +63,7 @@ def _in_blocks(rows, hot, keys, order, names, lag):
     )
     cut = stage(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
 
-    # One row per (group, block): at most blocks + hot groups rows, so it may be broadcast.
+    # One row per (group, block): it grows with the table, if by one row in ``max_group_rows``.
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*keys, "_block")
@@ -82,6 +83,7 @@ def _in_blocks(rows, hot, keys, order, names, lag):
         )
     )
 
+    offsets = stage(offsets, "offsets")
     local = Window.partitionBy(*keys, "_block").orderBy(*order, TAG)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = cut.select(
@@ -89,7 +91,7 @@ def _in_blocks(rows, hot, keys, order, names, lag):
         F.row_number().over(local).alias("_row"),
         *[_sum_over(name, upto).alias(f"_local_{name}") for name in names],
     )
-    placed = null_safe_join(summed, offsets, [*keys, "_block"], small=True).select(
+    placed = null_safe_join(summed, offsets, [*keys, "_block"], small=is_small(offsets)).select(
         "*",
         (F.col("_start") + F.col("_row")).alias("_position"),
         *[(F.col(f"_local_{n}") + F.col(f"_off_{n}")).alias(n) for n in names],
