@@ -33,6 +33,12 @@ STATE_ORACLES: dict[str, str] = {
     "stream_late_labels": LATE_LABELS,
     "stream_rejects": ORACLES["batch_rejects"],
     "stream_folded": ORACLES["score_stream"],
+    "shuffled_rows": tx("SELECT transaction_id, amount, true AS order_is_random FROM tx"),
+    "batch_contract": tx("""
+SELECT column_name, CASE WHEN needed THEN true END AS refused,
+       CASE WHEN NOT needed THEN (SELECT count(*) FROM tx) END AS rows_without, true AS template_has_it
+FROM (VALUES ('customer_id', false), ('transaction_id', false), ('transaction_timestamp', true), ('amount', true),
+             ('merchant_category', true)) c(column_name, needed)"""),
     "serving_history": ADVANCED,
     "serving_history_split": ADVANCED,
     "artifact_versions": run("""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkvigil.checks import ml_queries
 from sparkvigil.checks.queries import batch_result, batch_upload, rounded, timed
 from sparkvigil.checks.rule_scores import with_rule_prediction
-from sparkvigil.operators import artifacts, evaluation, features, models, scoring, sketches, snapshots, training
+from sparkvigil.operators import artifacts, evaluation, features, models, sampling, scoring, sketches, snapshots, training
 from sparkvigil.session import scratch_path, stage
 from sparkvigil.sources import layout, retail, tables
 from sparkvigil.sources.commits import remove
@@ -120,6 +120,32 @@ def stream_folded(spark, d):
     return table.read(SCORED, batch_result(spark, d))
 
 
+# ---- samples and contracts -----------------------------------------------------------------------
+
+
+def shuffled_rows(spark, d):
+    """All transactions in random order: the same rows, and no longer in the order of their ids."""
+    tx = retail.transactions(spark, d).select("transaction_id", "amount")
+    mixed = stage(sampling.shuffle_rows(tx).withColumn("place", F.monotonically_increasing_id()), "shuffled")
+    follows = mixed.agg(F.corr("place", "transaction_id").alias("r")).first()["r"]
+    return mixed.select("transaction_id", "amount", F.lit(abs(follows) < 0.5).alias("order_is_random"))
+
+
+def batch_contract(spark, d):
+    """Uploads that lack a required column: which ones are refused, with the columns they lack."""
+    raw = batch_upload(spark, d)
+    refused = []
+    for column in raw.columns:
+        try:
+            rows = tables.parse_batch(raw.drop(column)).count()
+            refused.append((column, None, rows))
+        except ValueError as error:
+            refused.append((column, column in str(error), None))
+    kept = set(tables.batch_template(spark).columns) == set(raw.columns)
+    found = spark.createDataFrame(refused, "column_name string, refused boolean, rows_without bigint")
+    return found.withColumn("template_has_it", F.lit(kept))
+
+
 # ---- batches ------------------------------------------------------------------------------------
 
 
@@ -251,6 +277,8 @@ STATE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_late_labels,
         stream_rejects,
         stream_folded,
+        shuffled_rows,
+        batch_contract,
         serving_history,
         serving_history_split,
         artifact_versions,
