@@ -58,15 +58,16 @@ def with_place(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) ->
 
 
 def with_serving_features(
-    df: DataFrame, scorer: Scorer, max_group_rows: int = MAX_GROUP_ROWS, advance: bool = True
+    df: DataFrame, scorer: Scorer, max_group_rows: int = MAX_GROUP_ROWS, advance: bool = False
 ) -> DataFrame:
     """The eight features of unlabelled transactions.
 
     A feature the rows already carry wins. Otherwise history comes from the customer snapshot and
-    category statistics from the fitted table; without history there, the fixed defaults apply. The
-    n-th transaction of a customer in the batch, by time, counts as the n-th row after the snapshot,
-    as it does in training; ``advance=False`` counts each as the next one. An id that is not of the
-    snapshot's type (text, missing) has no history there; categories match in any case.
+    category statistics from the fitted table; without history there, the fixed defaults apply. Each
+    transaction counts as the next row of its customer; with ``advance`` the n-th one of a customer in
+    the batch, by time, counts as the n-th row after the snapshot, as it does in training. That is for
+    batches which are whole: the rows of a stream bring their own history (``history_stream``). An id
+    that is not of the snapshot's type (text, missing) has no history there; categories match in any case.
     """
     if not {"hour", "day_of_week"} <= set(df.columns):
         df = with_time_features(df, convention=scorer.convention)
@@ -243,13 +244,15 @@ def score(
     scorer: Scorer,
     keep_stages: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
-    advance: bool = True,
+    advance: bool = False,
 ) -> DataFrame:
     """Unlabelled transactions with features and ``scores``."""
     return with_scores(with_serving_features(batch, scorer, max_group_rows, advance), scorer, keep_stages)
 
 
-def score_batch(batch: DataFrame, scorer: Scorer, model: str, stored: bool = False) -> DataFrame:
+def score_batch(
+    batch: DataFrame, scorer: Scorer, model: str, stored: bool = False, advance: bool = False
+) -> DataFrame:
     """Parsed batch rows to report rows with one model; the plan does not depend on the row count.
 
     The parsed rows are written once: looking up history reads them more than once, and parsing text
@@ -258,7 +261,7 @@ def score_batch(batch: DataFrame, scorer: Scorer, model: str, stored: bool = Fal
     batch = batch if stored else stage(batch, "batch")
     lowered = batch.withColumn("merchant_category", F.lower("merchant_category"))
     only = replace(scorer, models={model: scorer.models[model]})
-    return batch_result(one_model(score(lowered, only)), "amount_original")
+    return batch_result(one_model(score(lowered, only, advance=advance)), "amount_original")
 
 
 def scenario_scores(spark: SparkSession, scorer: Scorer) -> DataFrame:

@@ -208,12 +208,12 @@ def test_counts_advance_inside_a_batch(spark, max_group_rows):
         [(c, t, START + dt.timedelta(hours=h), 5.0, "travel") for c, t, h in rows],
         "customer_id string, transaction_id string, transaction_timestamp timestamp_ntz, amount double, merchant_category string",
     )
-    got = scoring.with_serving_features(batch, scorer, max_group_rows)
+    got = scoring.with_serving_features(batch, scorer, max_group_rows, advance=True)
     assert "_nth" not in got.columns
     assert {r.transaction_id: r.customer_transaction_count for r in got.collect()} == {
         "b": 41, "c": 42, "d": 43, "a": 44, "e": 10, "f": 10, "g": 10, "h": 10,
     }
-    still = scoring.with_serving_features(batch, scorer, advance=False)
+    still = scoring.with_serving_features(batch, scorer)
     assert {r.customer_transaction_count for r in still.collect()} == {41, 10}
 
 
