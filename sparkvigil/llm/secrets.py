@@ -45,15 +45,13 @@ WEB_TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_
 WEB_PART = re.compile(r"[A-Za-z0-9_-]+")
 # What may stand between the pieces of a key: white space, as such or escaped, and signs of quoting.
 KEY_GAP = r"""(?:[\s"'`,;+>#|*]|\\+[nrt]|<br\ ?/?>)"""
-# Before the last short piece, which may begin with a plus sign.
-LAST_GAP = KEY_GAP.replace("+>", ">", 1)
 # From the BEGIN line through headers and body to the END line; without one, through whole pieces of
 # base64 and a last short one that ends its line.
 PRIVATE_KEY = re.compile(
     rf"""-----BEGIN\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
     (?:{KEY_GAP}*+(?:Proc-Type|DEK-Info|Comment):(?:(?!\\+[nr]|-----)[^\n\r])*+)*+
     (?:(?:{KEY_GAP}|[A-Za-z0-9/=])*+-----END\ (?:[A-Z]+\ )?PRIVATE\ KEY-----
-    |(?:{KEY_GAP}*+[A-Za-z0-9+/=]{{16,}}+)*+(?:{LAST_GAP}*+[A-Za-z0-9+/]++=*+(?=[\x20\t"'`,;]*+(?:[\r\n]|\\+[nr]|\Z))|))""",
+    |(?:{KEY_GAP}*+[A-Za-z0-9+/=]{{16,}}+)*+(?:{KEY_GAP}*+[A-Za-z0-9+/]++=*+(?=[\x20\t"'`,;]*+(?:[\r\n]|\\+[nr]|\Z))|))""",
     re.VERBOSE,
 )
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
