@@ -152,14 +152,14 @@ def batch_contract(spark, d):
 def serving_history(spark, d):
     """Transaction counts of batch rows that advance along each customer's rows."""
     scorer = ml_queries.training_run(spark, d).scorer
-    rows = scoring.with_serving_features(ml_queries.good_batch(spark, d), scorer, advance=True)
+    rows = scoring.with_serving_features(ml_queries.stored_batch(spark, d), scorer, advance=True)
     return rows.select("transaction_id", "customer_transaction_count", "customer_fraud_count")
 
 
 def serving_history_split(spark, d):
     """The same with every customer cut into blocks."""
     scorer = ml_queries.training_run(spark, d).scorer
-    rows = scoring.with_serving_features(ml_queries.good_batch(spark, d), scorer, max_group_rows=10, advance=True)
+    rows = scoring.with_serving_features(ml_queries.stored_batch(spark, d), scorer, max_group_rows=10, advance=True)
     return rows.select("transaction_id", "customer_transaction_count", "customer_fraud_count")
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkvigil.operators import sampling
-from sparkvigil.plans import quantiles
+from sparkvigil.plans import ordered, quantiles
 from sparkvigil.plans.ordered import running_totals
 from sparkvigil.plans.skew import hot_groups, skew_join
 
@@ -213,3 +213,25 @@ def test_partitions_grow_with_the_rows(spark):
     assert sized(df, ["id"], 10) is df
     big = sized(df, ["id"], 50 * MAX_GROUP_ROWS)
     assert big.rdd.getNumPartitions() == 50
+
+
+@pytest.mark.parametrize("lag", [None, 3])
+def test_small_blocks_share_a_task(spark, monkeypatch, lag):
+    """900 blocks of 2 rows are still cut, but in no more ranges than the session has partitions."""
+    seen, real = {}, ordered.stage
+
+    def recorded(df, name):
+        if name == "blocks":
+            seen["ranges"] = df.rdd.getNumPartitions()
+        out = real(df, name)
+        if name == "blocks":
+            seen["largest"] = out.groupBy("k", "_block").count().agg(F.max("count")).first()[0]
+        return out
+
+    monkeypatch.setattr(ordered, "stage", recorded)
+    df = spark.range(1800).selectExpr("id % 300 AS k", "id", "id % 7 AS x").repartition(3)
+    whole = running_totals(df, ["k"], [F.col("id")], {"total": F.col("x")}, lag=lag)
+    split = running_totals(df, ["k"], [F.col("id")], {"total": F.col("x")}, lag=lag, max_group_rows=2)
+    columns = whole.columns
+    assert sorted(split.select(*columns).collect()) == sorted(whole.collect())
+    assert seen["ranges"] <= 4 and seen["largest"] <= 2
