@@ -304,3 +304,35 @@ def test_split_keeps_test_rows_out_of_the_fit(spark):
     state = features.fit_preprocessing(train)
     assert state.upper_bound <= train.agg(F.max("amount")).first()[0]
     assert test.count() > 0
+
+
+def test_a_fit_has_parts_by_its_rows(spark, monkeypatch):
+    """A small sample in many pieces is not one task for every piece in every pass of a fit."""
+    seen = []
+
+    class Estimator:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count()))
+
+    monkeypatch.setitem(models.ESTIMATORS, "counted", Estimator)
+    train = spark.range(0, 90, 1, 60).selectExpr("id AS features", "id % 2 AS label")
+    models.train_models(train, {"counted": {}}, None)
+    monkeypatch.setattr(models, "FIT_PART_ROWS", 30)
+    models.train_models(train, {"counted": {}}, None)
+    assert seen == [(1, 90), (3, 90)]
+
+
+def test_scoring_deals_rows_out_evenly(spark, run, make_tx, monkeypatch):
+    monkeypatch.setattr(scoring, "SCORE_ROWS", 10)
+    rows = make_tx([(1, i, i, 5.0, "gaming", None) for i in range(40)]).coalesce(1).drop("is_fraud")
+    assert scoring.score(rows, run.scorer).rdd.getNumPartitions() == 4
+
+
+def test_side_of_a_row_is_stored_with_it(spark):
+    """A stored side is taken as it is; nothing hashes the key again."""
+    marked = spark.createDataFrame([(1, "test"), (2, "test"), (3, "train")], "transaction_id int, split string")
+    train, test = sampling.split(marked)
+    assert [r[0] for r in train.collect()] == [3] and sorted(r[0] for r in test.collect()) == [1, 2]
