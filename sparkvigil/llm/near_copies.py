@@ -1,11 +1,14 @@
-"""Near copies by exact Jaccard similarity of word shingles, with min-hash bands to find candidates.
-
-Equal sets of shingles are one entry. Each has ``HASHES`` minimum hashes; entries that agree on one
-of the bands of ``BAND_ROWS`` of them meet in a bucket (a pair of Jaccard 0.8 meets in none of 32
-bands of 4 with a chance of 5e-8). In a bucket, entries whose sketches agree in a share of ``ROUGH``
-or more are chained to candidate groups; inside such a group every link is decided by the exact
-similarity of the shingle sets. Chaining compares members with those that are not yet reached, so a
-dense group costs about its size, and only spanning forests leave a task.
+"""Near copies by SimHash through its Gray-order index, min-hash bands for what lies further apart, and
+an exact check of the Jaccard similarity of word shingles.
+
+Equal sets of shingles are one entry. Entries whose fingerprints differ in at most
+``simhash.MAX_BITS`` bits are linked by the index of ``simhash``. Pairs of Jaccard 0.8 often differ
+in more bits, so each entry also has ``HASHES`` minimum hashes; entries that agree on one of the
+bands of ``BAND_ROWS`` of them meet in a bucket (a pair of Jaccard 0.8 meets in none of 32 bands of
+4 with a chance of 5e-8), where those whose sketches agree in a share of ``ROUGH`` or more are
+linked. Both kinds of links make candidate groups; inside such a group every link is decided by the
+exact similarity of the shingle sets. Chaining compares members with those that are not yet reached,
+so a dense group costs about its size, and only spanning forests leave a task.
 
 Buckets and groups above ``MAX_GROUP`` entries (groups also above ``MAX_WORDS`` words) are cut into
 even slices by hash, and every pair of slices is a task group of its own.
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sparkvigil.llm.columns import text_slices
 from sparkvigil.llm.components import connected_components
-from sparkvigil.llm.simhash import shingle_hashes, whole_groups
+from sparkvigil.llm.simhash import fingerprint_links, fingerprint_of_hashes, shingle_hashes, whole_groups
 from sparkvigil.session import stage
 
 WORDS = 5
@@ -60,10 +63,11 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def with_sketches(docs: DataFrame, name: str, words: int) -> DataFrame:
-    """``docs`` with (fp: hash of the set, size, bands, sketch) of its text in the column ``name``."""
+    """``docs`` with (fp: hash of the set, size, bands, sketch, simhash) of its text in the column ``name``."""
     kind = pa.struct(
-        [("fp", pa.int64()), ("size", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
-    )
+        [("fp", pa.int64()), ("size", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()),
+         ("simhash", pa.int64())]
+    )
 
     def of(text: str | None) -> dict:
         shingles = shingle_set(text, words)
@@ -74,9 +78,10 @@ def with_sketches(docs: DataFrame, name: str, words: int) -> DataFrame:
         return {
             "fp": int(fp.view(np.int64)[0]), "size": len(shingles),
             "bands": keys.view(np.int64), "sketch": least.astype(np.uint8).tobytes(),
+            "simhash": int(np.uint64(fingerprint_of_hashes(shingles)).astype(np.int64)),
         }
 
-    @F.arrow_udf("struct<fp:bigint,size:int,bands:array<bigint>,sketch:binary>")
+    @F.arrow_udf("struct<fp:bigint,size:int,bands:array<bigint>,sketch:binary,simhash:bigint>")
     def sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in (part for batch in batches for part in text_slices(batch)):
             yield pa.array([of(t) for t in part.to_pylist()], kind)
@@ -158,14 +163,25 @@ def in_slices(entries: DataFrame, key: str, many: Column) -> DataFrame:
     return paired.filter(needed).withColumn("bucket", bucket).drop("n", "i", "j", key)
 
 
+def simhash_links(sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that join all entries with fingerprints that are equal or linked by the Gray index."""
+    centres = stage(sets.groupBy("simhash").agg(F.min("fp").alias("fp")), "centres")
+    equal = sets.select("simhash", F.col("fp").alias("a")).join(centres, "simhash").filter("a <> fp")
+    links = fingerprint_links(centres.select(F.col("simhash").alias("fp"))).distinct()
+    first, second = (centres.select(F.col("simhash").alias(c), F.col("fp").alias(f"fp_{c}")) for c in ("a", "b"))
+    near = links.join(first, "a").join(second, "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    return near.union(equal.select("a", F.col("fp").alias("b")))
+
+
 def candidate_groups(sets: DataFrame, rough: float = ROUGH) -> DataFrame:
-    """(fp, root) of all entries of ``sets`` (fp, bands, sketch) that may have a near copy."""
+    """(fp, root) of all entries of ``sets`` (fp, bands, sketch, simhash) that may have a near copy."""
     entries = sets.select("fp", F.explode("bands").alias("key"))
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("entries")).filter("entries > 1")
     met = in_slices(entries.join(sizes, "key"), "key", slice_count("entries", MAX_GROUP))
     met = met.select("fp", "bucket").join(sets.select("fp", "sketch"), "fp")
     grouped = met.select("bucket", "fp", "sketch").repartition("bucket").sortWithinPartitions("bucket")
     edges = grouped.mapInPandas(lambda frames: forests(frames, lambda f: rough_links(f, rough)), "a bigint, b bigint")
+    edges = edges.union(simhash_links(sets))
     return connected_components(edges.distinct()).select(F.col("node").alias("fp"), "root")
 
 
@@ -174,11 +190,12 @@ def near_copy_roots(
 ) -> DataFrame:
     """(fp, root) of every entry with a near copy.
 
-    ``prints``: stored rows (tag, fp, size, bands, sketch); ``docs``: the texts by ``tag``.
+    ``prints``: stored rows (tag, fp, size, bands, sketch, simhash); ``docs``: the texts by ``tag``.
     """
     sets = stage(prints.groupBy("fp").agg(
         F.min("tag").alias("tag"), F.first("size").alias("size"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.first("simhash").alias("simhash"),
     ), "sets")
     groups = stage(candidate_groups(sets, rough), "groups").join(sets.select("fp", "tag", "size"), "fp")
     sums = groups.groupBy("root").agg(F.count(F.lit(1)).alias("entries"), F.sum("size").alias("shingles"))

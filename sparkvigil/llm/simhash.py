@@ -63,11 +63,14 @@ def shingle_hashes(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEE
 
 def fingerprint_of(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     """The fingerprint of one text: each bit is 1 if set in over half of the shingle hashes."""
-    hashed = shingle_hashes(text, words, seed)
+    return fingerprint_of_hashes(np.array(shingle_hashes(text, words, seed), dtype="<u8"))
+
+
+def fingerprint_of_hashes(hashed: np.ndarray) -> int:
     n = len(hashed)
     if not n:
         return 0
-    rows = np.array(hashed, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    rows = hashed.view(np.uint8).reshape(-1, 8)
     counts = np.zeros(BITS, dtype=np.int64)
     for start in range(0, n, 255):
         bits = np.unpackbits(rows[start : start + 255], axis=1, bitorder="little")
@@ -267,8 +270,8 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every group of near copies: its smallest doc_id (null last), then row hash.
 
-    Near copies are linked as ``near_copies`` defines it, by the Jaccard similarity of five-word
-    shingles. Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one.
+    Near copies are linked as ``near_copies`` defines it: this index and min-hash bands find candidates,
+    the Jaccard similarity of five-word shingles decides. Rows are told apart by doc_id and a hash of all columns; exact copies of a row are one.
     """
     from sparkvigil.llm import near_copies
 

@@ -860,3 +860,16 @@ def test_web_tokens_after_a_failed_start():
     for before in ("eyJxx ", "eyJxx.", "eyJxx.eyJyy ", "eyJ.", "eyJxx-"):
         found = [text for text in ([before + token][0][a:b] for k, a, b in secrets.scan(before + token) if k == "web_token")]
         assert found == ([] if before == "eyJxx-" else [token])
+
+
+def test_near_copies_are_linked_by_fingerprints(spark, texts):
+    """The Gray-order index finds near copies of its own, where no band of min-hashes is shared."""
+    base = max((t for t in texts.values() if t), key=len).split()[:400]
+    other = sorted((t for t in texts.values() if t), key=len)[len(texts) // 2].split()
+    near = [base, base + ["word"], base + ["word", "more"], other]
+    docs = spark.createDataFrame([(i, i, " ".join(w)) for i, w in enumerate(near)], "doc_id int, tag bigint, text string")
+    prints = near_copies.with_sketches(docs, "found", near_copies.WORDS).select("tag", "found.*")
+    prints = near_copies.stage(prints.withColumn("bands", F.array("tag")), "prints")
+    roots = {r["fp"]: r["root"] for r in near_copies.near_copy_roots(prints, docs).collect()}
+    fps = {r["tag"]: r["fp"] for r in prints.collect()}
+    assert [roots.get(fps[i]) for i in range(4)] == [min(fps[i] for i in range(3))] * 3 + [None]
