@@ -18,6 +18,8 @@ from sparkvigil.operators.sketches import amount_sketches, preprocessing_quantil
 from sparkvigil.session import stage
 from sparkvigil.sources.commits import Versions, remove
 
+# What the states are worked out from.
+STATE_COLUMNS = ["customer_id", "transaction_datetime", "transaction_id", "is_fraud", "merchant_category", "amount"]
 ENTRY = "struct<at:timestamp_ntz,id:bigint,label:bigint>"
 
 
@@ -127,9 +129,12 @@ class SnapshotStore:
     def add(self, part: str, tx: DataFrame) -> bool:
         """Merge the timed transactions of a part, such as a day's; False if the part is already in.
 
-        The part's own states are worked out once; if another writer publishes first, they are merged
-        with what is newest then.
+        The part's rows are written once, as four states are worked out from them, and those once; if
+        another writer publishes first, they are merged with what is newest then.
         """
+        if part in self.parts():
+            return False
+        tx = stage(tx.select(*STATE_COLUMNS), "part")
         own = {
             "customers": stage(customer_state(tx, self.frame), "customers"),
             "merchants": stage(merchant_state(tx), "merchants"),
