@@ -22,6 +22,8 @@ from sparkvigil.streaming.sink import StreamSink
 # How long after its transaction a label is known, in the query on late labels.
 LABEL_DELAY = "INTERVAL '36' HOUR"
 SLICES = 3
+# Rows of one file of an upload.
+UPLOAD_ROWS = 250_000
 
 
 # ---- streams ------------------------------------------------------------------------------------
@@ -83,11 +85,15 @@ def stream_late_labels(spark, d):
 
 
 def rejecting_stream(spark, d, sink: str, checkpoint: str, files: int, fan: int = 100) -> Callable[[], None]:
-    """A function that runs a stream over the batch upload in several files to its end."""
+    """A function that runs a stream over the batch upload in several micro-batches to its end.
+
+    A micro-batch is one file, or several of about ``UPLOAD_ROWS`` rows.
+    """
     source = scratch_path(spark, "upload")
     raw = batch_upload(spark, d)
-    raw.repartition(files).write.parquet(source)
-    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    each = max(1, -(-raw.count() // (files * UPLOAD_ROWS)))
+    raw.repartition(files * each).write.parquet(source)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", each).parquet(source)
     both = with_rejects(tables.parse_batch, score_rows_of)
     return lambda: score_stream(stream, both, sink, checkpoint, fan=fan).awaitTermination()
 

@@ -23,6 +23,8 @@ from sparkvigil.sources.commits import CommitLog, folder_bytes, remove
 # Folders of one level that become one of the next; commits before a fold.
 FAN = 8
 FILE_BYTES = 128 << 20
+# Most rows of a file: bytes do not bound them where columns compress well.
+FILE_ROWS = 1_000_000
 
 
 class StreamSink:
@@ -119,14 +121,16 @@ class StreamSink:
         return True
 
     def merged(self, output: str, folders: list[str]) -> list[str]:
-        """One folder with the rows of several, in files of about ``file_bytes``; none for none."""
+        """One folder with the rows of several, in files of about ``file_bytes`` and at most about
+        ``FILE_ROWS`` rows; none for none."""
         paths = [f"{self.root}/{output}/{f}" for f in folders]
         if not paths:
             return []
         rows = self.spark.read.parquet(*paths)
         size = sum(folder_bytes(self.spark, p) for p in paths)
         folder = uuid.uuid4().hex
-        rows.repartition(max(1, -(-size // self.file_bytes))).write.parquet(f"{self.root}/{output}/{folder}")
+        files = max(1, -(-size // self.file_bytes), -(-rows.count() // FILE_ROWS))
+        rows.repartition(files).write.parquet(f"{self.root}/{output}/{folder}")
         return [folder]
 
     def clean(self, number: int) -> None:

@@ -16,6 +16,7 @@ from sparkvigil.sources import layout, retail, tables
 from sparkvigil.sources.commits import CommitLog, Versions, file_system, hadoop_path
 from sparkvigil.streaming.history import LATE_LABEL, Ring, history_stream
 from sparkvigil.streaming.scoring import read_rejects, read_scored, score_stream, with_rejects
+from sparkvigil.streaming import sink as sink_module
 from sparkvigil.streaming.sink import StreamSink
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -316,3 +317,21 @@ def test_only_files_with_line_breaks_in_quotes_are_read_whole(spark):
     columns = [c for c in whole.columns if c != "transaction_id"]
     same(automatic.select(columns), whole.select(columns))
     assert automatic.select("transaction_id").distinct().count() == automatic.count() == 6
+
+
+def test_a_known_part_is_not_worked_out_again(spark, make_tx, monkeypatch):
+    store = snapshots.SnapshotStore(spark, scratch_path(spark, "store"))
+    assert store.add("a", make_tx([(1, 1, 0, 5.0, "gaming", 1)]))
+    monkeypatch.setattr(snapshots, "stage", lambda *_: pytest.fail("worked out"))
+    assert not store.add("a", make_tx([(1, 1, 0, 5.0, "gaming", 1)]))
+
+
+def test_folded_files_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(sink_module, "FILE_ROWS", 10, raising=False)
+    sink = StreamSink(spark, scratch_path(spark, "sink"), fan=2)
+    for n in range(2):
+        sink.append("s", n, {"scored": spark.range(20)})
+    assert sink.compact()
+    rows = spark.read.parquet(*sink.paths("scored"))
+    per_file = rows.groupBy(F.input_file_name().alias("f")).count().agg(F.max("count")).first()[0]
+    assert rows.count() == 40 and per_file <= 12
