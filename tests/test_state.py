@@ -8,13 +8,14 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from sparkvigil.operators import features, scoring, sketches, snapshots
 from sparkvigil.session import scratch_path
 from sparkvigil.sources import layout, retail, tables
 from sparkvigil.sources.commits import CommitLog, Versions, file_system, hadoop_path
-from sparkvigil.streaming.history import LATE_LABEL, Ring, history_stream
+from sparkvigil.streaming.history import LATE_LABEL, History, Ring, history_stream
 from sparkvigil.streaming.scoring import read_rejects, read_scored, score_stream, with_rejects
 from sparkvigil.streaming import sink as sink_module
 from sparkvigil.streaming.sink import StreamSink
@@ -158,6 +159,38 @@ def test_late_labels_change_what_follows():
     assert ring.add(START + dt.timedelta(hours=10), 10, None) == (0.0, 7, 1)
 
 
+def test_a_customer_costs_one_read_and_one_compact_write_of_state():
+    class Value:
+        calls, held = [], None
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    names = ["customer_id", "transaction_id", "transaction_datetime", "is_fraud"]
+    process = History(names, frame=4, slack=3)
+    process.state = Value()
+    steps = [(0, None, 1), (1, dt.datetime(1970, 1, 1), None), (2, dt.datetime(1969, 7, 20), 1), *[(i, START + dt.timedelta(hours=i), i % 2) for i in range(3, 12)]]
+    rows = [Row(*names, LATE_LABEL)(1, number, at, label, False) for number, at, label in steps]
+    got = []
+    for part in (rows[:3], rows[3:5], rows[5:]):
+        got += [(r.transaction_id, tuple(r)[4:]) for r in process.handleInputRows((1,), iter(part), None)]
+    assert process.state.calls == ["get", "update"] * 3
+    assert [type(v) for v in process.state.held] == [int, int, bytes] and len(process.state.held[2]) == 7 * 25
+    least = dt.datetime.min
+    in_order = sorted(steps, key=lambda s: (s[1] is not None, s[1] or least, s[0]))
+    want = plain_history([(at or least, number, label) for number, at, label in in_order], 4)
+    assert got == [(s[0], h) for s, h in zip(in_order, want, strict=True)]
+
+
 def test_stream_history_does_not_depend_on_the_cut(spark):
     tx = features.with_time_features(retail.transactions(spark, SF_DIR)).filter("customer_id <= 4")
     tx = tx.unionByName(tx.limit(3).withColumns({"customer_id": F.lit(None).cast("bigint"), "transaction_id": F.col("transaction_id") + 100_000}))
