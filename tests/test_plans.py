@@ -30,6 +30,18 @@ SHAPES = {
 PROBABILITIES = [0.0, 0.005, 0.25, 0.5, 0.75, 0.995, 1.0]
 
 
+def test_one_sketch_for_all_ranks_of_a_column(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "LIST_ROWS", 10)
+    made, sketch = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda *a: made.append(a) or sketch(*a))
+    data = SHAPES["uniform"](random.Random(2))
+    df = values_frame(spark, data).withColumn("w", -F.col("v"))
+    got = quantiles.exact_quantiles(df, ["v", "w"], PROBABILITIES, "linear")
+    assert len(made) == 2
+    assert got[(None, "v")] == pytest.approx(list(np.quantile(data, PROBABILITIES)))
+    assert got[(None, "w")] == pytest.approx(list(np.quantile([-x for x in data], PROBABILITIES)))
+
+
 @pytest.mark.parametrize("shape", SHAPES)
 @pytest.mark.parametrize("small", [True, False])
 def test_exact_quantiles(spark, monkeypatch, shape, small):
