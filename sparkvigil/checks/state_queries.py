@@ -22,6 +22,8 @@ from sparkvigil.streaming.sink import StreamSink
 # How long after its transaction a label is known, in the query on late labels.
 LABEL_DELAY = "INTERVAL '36' HOUR"
 SLICES = 3
+# What customer history is worked out from.
+HISTORY_INPUT = ["customer_id", "transaction_id", "transaction_datetime", "is_fraud"]
 # Rows of one file of an upload.
 UPLOAD_ROWS = 250_000
 
@@ -57,7 +59,8 @@ def stream_history(spark, d):
     tx = retail.transactions(spark, d)
 
     def start(stream: DataFrame):
-        return score_stream(history_stream(features.with_time_features(stream)), history_columns, sink, checkpoint)
+        needed = features.with_time_features(stream).select(*HISTORY_INPUT)
+        return score_stream(history_stream(needed), history_columns, sink, checkpoint)
 
     arriving(spark, in_slices(tx, "transaction_timestamp"), start)
     like = history_columns(features.with_customer_history(timed(spark, d)))
@@ -67,7 +70,7 @@ def stream_history(spark, d):
 def stream_late_labels(spark, d):
     """The same with labels that arrive 36 hours after their transactions, from a snapshot of the first third."""
     sink, checkpoint = scratch_path(spark, "late_sink"), scratch_path(spark, "late_checkpoint")
-    tx = timed(spark, d).select("customer_id", "transaction_id", "transaction_datetime", "is_fraud")
+    tx = timed(spark, d).select(*HISTORY_INPUT)
     known, *rest = in_slices(tx, "transaction_datetime")
     later = rest[0].unionByName(rest[1])
     bare = later.withColumns({"is_fraud": F.lit(None).cast("int"), LATE_LABEL: F.lit(False)})

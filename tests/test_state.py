@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from sparkvigil.checks import state_queries
 from sparkvigil.operators import features, scoring, sketches, snapshots
 from sparkvigil.session import scratch_path
 from sparkvigil.sources import layout, retail, tables
@@ -209,6 +210,15 @@ def test_stream_history_does_not_depend_on_the_cut(spark):
         same(read_scored(spark, sink, want), want)
 
 
+def test_the_query_on_history_passes_only_what_it_needs(spark, monkeypatch):
+    passed = []
+    real = state_queries.history_stream
+    monkeypatch.setattr(state_queries, "history_stream", lambda stream, *a: passed.append(stream.columns) or real(stream, *a))
+    got = state_queries.stream_history(spark, SF_DIR)
+    assert passed == [["customer_id", "transaction_id", "transaction_datetime", "is_fraud"]] * 3
+    same(got, state_queries.history_columns(features.with_customer_history(state_queries.timed(spark, SF_DIR))))
+
+
 def test_stream_from_a_snapshot_with_late_labels(spark):
     rows = [(1, i, START + dt.timedelta(hours=i), i % 2) for i in range(6)]
     known = spark.createDataFrame(rows, "customer_id bigint, transaction_id bigint, transaction_datetime timestamp_ntz, is_fraud int")
